@@ -45,7 +45,11 @@ def ranked_values(
         cuts = F.coalesce(
             known.agg(F.percentile_approx(value, probs, 1000).cast("array<double>").alias("cuts")).scalar(), none
         )
-    ranged = freq.withColumn("_range", F.size(F.filter(cuts, lambda c: c < F.col(value))))
+    ranged = (
+        freq.withColumn("_cuts", cuts)
+        .withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col(value))))
+        .drop("_cuts")
+    )
     keys = [*by, "_range"]
     sums = ranged.groupBy(*keys).agg(F.sum("n").alias("_n"))
     earlier = W.partitionBy(*by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,3 +58,13 @@ def checkpoint_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the checkpoint folder."""
     return os.path.join(checkpoint_folder(spark), f"{name}-{os.urandom(6).hex()}")
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a result once and read it back: later passes rescan it, not its lineage.
+
+    The folder is shared, so the table outlives any executor.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
