@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickevidence.plans import queries_samples  # noqa: F401
+from tickevidence.plans import queries_samples, queries_time  # noqa: F401
 from tickevidence.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
