@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from tickevidence.plans import queries_samples, queries_time  # noqa: F401
+from tickevidence.plans import (  # noqa: F401
+    queries_joins,
+    queries_quality,
+    queries_samples,
+    queries_time,
+)
 from tickevidence.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
