@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Cody's coefficients.
@@ -34,64 +34,95 @@ def _ratio(x, top: tuple, bottom: tuple):
     return (num + top[-2]) / (den + bottom[-1])
 
 
-def erfc(x: Column) -> Column:
-    y = F.abs(x)
-    small = 1.0 - x * _ratio(x * x, _A, _B)
-    middle = F.exp(-y * y) * _ratio(y, _C, _D)
-    inverse = 1.0 / (y * y)
-    tail = (F.lit(1.0 / math.sqrt(math.pi)) - inverse * _ratio(inverse, _P, _Q)) / y
-    large = F.when(y > 27.0, F.lit(0.0)).otherwise(F.exp(-y * y) * tail)
-    outer = F.when(y <= 4.0, middle).otherwise(large)
-    return F.when(y <= 0.46875, small).otherwise(F.when(x < 0, 2.0 - outer).otherwise(outer))
-
-
-def normal_cdf(x: Column) -> Column:
-    return 0.5 * erfc(-x / F.lit(math.sqrt(2.0)))
-
-
-def black_scholes(
-    spot: Column, strike: Column, sigma: Column, years: Column, rate: float, dividend: float, side: Column
-) -> dict[str, Column]:
-    """Delta, theta per calendar day, gamma, vega per volatility point."""
-    root = F.sqrt(years)
-    d1 = (F.ln(spot / strike) + (rate - dividend + sigma * sigma / 2) * years) / (sigma * root)
-    d2 = d1 - sigma * root
-    density = F.exp(-d1 * d1 / 2) / F.lit(math.sqrt(2 * math.pi))
-    dq, dr = F.exp(-dividend * years), F.exp(-rate * years)
-    call = side == "CE"
-    decay = -(spot * dq * density * sigma) / (2 * root)
-    carry_call = -rate * strike * dr * normal_cdf(d2) + dividend * spot * dq * normal_cdf(d1)
-    carry_put = rate * strike * dr * normal_cdf(-d2) - dividend * spot * dq * normal_cdf(-d1)
-    return {
-        "delta": dq * F.when(call, normal_cdf(d1)).otherwise(normal_cdf(d1) - 1),
+def with_erfc(df: DataFrame, arguments: dict[str, Column]) -> DataFrame:
+    """Add ``erfc`` of several arguments, one output column per name.
+
+    Absolute values, squares and inverses are columns of their own, so the
+    polynomials read them instead of repeating the argument's expression.
+    """
+    c = F.col
+    first = {f"_x_{n}": x for n, x in arguments.items()}
+    second = {}
+    for n in arguments:
+        x = c(f"_x_{n}")
+        second |= {f"_y_{n}": F.abs(x), f"_z_{n}": x * x, f"_i_{n}": F.try_divide(F.lit(1.0), x * x)}
+    third = {}
+    for n in arguments:
+        x, y, z, i = (c(f"_{k}_{n}") for k in "xyzi")
+        small = 1.0 - x * _ratio(z, _A, _B)
+        middle = F.exp(-z) * _ratio(y, _C, _D)
+        tail = F.exp(-z) * ((F.lit(1.0 / math.sqrt(math.pi)) - i * _ratio(i, _P, _Q)) / y)
+        outer = F.when(y <= 4.0, middle).when(y > 27.0, 0.0).otherwise(tail)
+        third[n] = F.when(y <= 0.46875, small).when(x < 0, 2.0 - outer).otherwise(outer)
+    out = df.withColumns(first).withColumns(second).withColumns(third)
+    return out.drop(*first, *second)
+
+
+def with_black_scholes(
+    df: DataFrame, *, spot: str, strike: str, sigma: str, years: str, side: str, rate: float, dividend: float
+) -> DataFrame:
+    """Add delta, theta per calendar day, gamma and vega per volatility point."""
+    c = F.col
+    s, k, v, t = c(spot), c(strike), c(sigma), c(years)
+    root = F.sqrt(t)
+    out = df.withColumn("_d1", (F.ln(s / k) + (rate - dividend + v * v / 2) * t) / (v * root)).withColumn(
+        "_d2", c("_d1") - v * root
+    )
+    half = F.lit(math.sqrt(2.0))
+    out = with_erfc(
+        out, {"_p1": -c("_d1") / half, "_p2": -c("_d2") / half, "_m1": c("_d1") / half, "_m2": c("_d2") / half}
+    )
+    cdf = {n: 0.5 * c(n) for n in ("_p1", "_p2", "_m1", "_m2")}
+    out = out.withColumns(
+        {
+            "_pdf": F.exp(-c("_d1") * c("_d1") / 2) / F.lit(math.sqrt(2 * math.pi)),
+            "_dq": F.exp(-dividend * t),
+            "_dr": F.exp(-rate * t),
+        }
+    )
+    pdf, dq, dr, call = c("_pdf"), c("_dq"), c("_dr"), c(side) == "CE"
+    decay = -(s * dq * pdf * v) / (2 * root)
+    carry_call = -rate * k * dr * cdf["_p2"] + dividend * s * dq * cdf["_p1"]
+    carry_put = rate * k * dr * cdf["_m2"] - dividend * s * dq * cdf["_m1"]
+    values = {
+        "delta": dq * F.when(call, cdf["_p1"]).otherwise(cdf["_p1"] - 1),
         "theta": (decay + F.when(call, carry_call).otherwise(carry_put)) / 365.0,
-        "gamma": dq * density / (spot * sigma * root),
-        "vega": spot * dq * density * root / 100.0,
+        "gamma": dq * pdf / (s * v * root),
+        "vega": s * dq * pdf * root / 100.0,
     }
+    return out.withColumns(values).drop("_d1", "_d2", "_p1", "_p2", "_m1", "_m2", "_pdf", "_dq", "_dr")
 
 
-def derived_greeks(
-    spot: Column,
-    strike: Column,
-    iv: Column,
-    days: Column,
-    side: Column,
+def with_greeks(
+    df: DataFrame,
     *,
+    spot: str,
+    strike: str,
+    iv: str,
+    days: str,
+    side: str,
     derive: bool,
     rate: float | None,
     dividend: float | None,
-) -> tuple[dict[str, Column], Column]:
+    status: str = "derivation_status",
+) -> DataFrame:
     """Optional Greeks with their status; anything not computable stays NULL."""
-    none = {k: F.lit(None).cast("double") for k in ("delta", "theta", "gamma", "vega")}
-    if not derive:
-        return none, F.lit("disabled")
-    if rate is None or dividend is None:
-        return none, F.lit("missing_parameters")
-    status = F.when(iv.isNull(), "missing_iv").when(days == 0, "nonpositive_time").otherwise("derived")
-    ok = iv.isNotNull() & (days > 0)
-    safe = {k: F.when(ok, c) for k, c in (("iv", iv), ("days", days))}
-    values = black_scholes(spot, strike, safe["iv"], safe["days"] / 365.0, rate, dividend, side)
-    return {k: F.when(ok, v) for k, v in values.items()}, status
+    if not derive or rate is None or dividend is None:
+        reason = "missing_parameters" if derive else "disabled"
+        empty = {g: F.lit(None).cast("double") for g in ("delta", "theta", "gamma", "vega")}
+        return df.withColumns({**empty, status: F.lit(reason)})
+    ok = F.col(iv).isNotNull() & (F.col(days) > 0)
+    judged = df.withColumns(
+        {
+            status: F.when(F.col(iv).isNull(), "missing_iv").when(F.col(days) == 0, "nonpositive_time").otherwise("derived"),
+            "_sigma": F.when(ok, F.col(iv)),
+            "_years": F.when(ok, F.col(days) / 365.0),
+        }
+    )
+    out = with_black_scholes(
+        judged, spot=spot, strike=strike, sigma="_sigma", years="_years", side=side, rate=rate, dividend=dividend
+    )
+    return out.drop("_sigma", "_years")
 
 
 def attribution(

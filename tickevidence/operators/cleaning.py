@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tickevidence.functions import parsing as P
 from tickevidence.functions.clock import days_to_expiry
-from tickevidence.functions.greeks import derived_greeks
+from tickevidence.functions.greeks import with_greeks
 from tickevidence.session import stage_table
 
 # Required and ignored headers, and the accepted header spellings.
@@ -236,16 +236,10 @@ def clean(df: DataFrame, policy: CleaningPolicy, *, source_row: str = "source_ro
         "spot", "iv", "volume", "oi", "ltp", "timestamp_source", "data_status", "provider_timestamp",
         "source_receipt_id", "source_freshness", "source_version",
     ]
-    greeks, status = derived_greeks(
-        F.col("spot"), F.col("strike"), F.col("iv"), F.col("daystoexpiry"), F.col("optiontype"),
+    named = ok.withColumn("observation_id", stable_id({n: F.col(n) for n in identity_fields}))
+    accepted = with_greeks(
+        named, spot="spot", strike="strike", iv="iv", days="daystoexpiry", side="optiontype",
         derive=policy.derive_greeks, rate=policy.risk_free_rate, dividend=policy.dividend_yield,
-    )
-    accepted = ok.withColumns(
-        {
-            "observation_id": stable_id({n: F.col(n) for n in identity_fields}),
-            **greeks,
-            "derivation_status": status,
-        }
     ).withColumn(
         "greeks_source",
         F.when(F.col("derivation_status") == "derived", "black_scholes_european").otherwise("unavailable"),

@@ -154,7 +154,7 @@ def greedy_spacing(
     be a clock grid of one session (a few hundred anchors): the fold then runs
     over an array whose length the grid bounds.
     """
-    item = F.struct(F.col(start).alias("s"), F.col(end).alias("e"), F.struct(*carry).alias("c"))
+    item = F.struct(F.col(start).alias("s"), F.col(end).alias("e"), (F.struct(*carry) if carry else F.struct(F.lit(0))).alias("c"))
     grouped = df.groupBy(*by).agg(F.array_sort(F.collect_list(item)).alias("_items"))
     folded = F.aggregate(
         "_items",

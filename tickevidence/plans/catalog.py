@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tickevidence.plans import (  # noqa: F401
+    queries_features,
     queries_joins,
     queries_quality,
     queries_samples,
