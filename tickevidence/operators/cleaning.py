@@ -209,11 +209,14 @@ def normalize(df: DataFrame, policy: CleaningPolicy) -> DataFrame:
     )
 
 
-def clean(df: DataFrame, policy: CleaningPolicy, *, source_row: str = "source_row") -> Cleaned:
+def clean(
+    df: DataFrame, policy: CleaningPolicy, *, source_row: str = "source_row", by: tuple[str, ...] = ()
+) -> Cleaned:
     """Clean a renamed text table.
 
     ``source_row`` is a supplied ordinal; it decides which exact copy is first and
-    names quarantined rows. A row whose identity is valid takes part in conflict
+    names quarantined rows; ``by`` names pass-through columns to report counts by
+    (a supplied trading date, say). A row whose identity is valid takes part in conflict
     detection even when its values are bad.
     """
     content = [c for c in df.columns if c != source_row]
@@ -244,7 +247,7 @@ def clean(df: DataFrame, policy: CleaningPolicy, *, source_row: str = "source_ro
         "greeks_source",
         F.when(F.col("derivation_status") == "derived", "black_scholes_european").otherwise("unavailable"),
     )
-    counts = judged.agg(
+    counts = judged.groupBy(*by).agg(
         F.sum("copies").alias("input_rows"),
         F.count_if(F.col("reason").isNull()).alias("accepted"),
         F.count_if(F.col("reason").isNotNull()).alias("quarantined"),
@@ -252,7 +255,7 @@ def clean(df: DataFrame, policy: CleaningPolicy, *, source_row: str = "source_ro
     )
     return Cleaned(
         accepted.drop("copies", "reason"),
-        judged.filter(F.col("reason").isNotNull()).select(source_row, "reason", "raw_record_json"),
+        judged.filter(F.col("reason").isNotNull()).select(*by, source_row, "reason", "raw_record_json"),
         run_gate(counts, policy),
     )
 

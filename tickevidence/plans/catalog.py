@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from tickevidence.plans import (  # noqa: F401
     queries_features,
+    queries_ingest,
     queries_joins,
     queries_quality,
+    queries_research,
     queries_samples,
     queries_time,
 )
