@@ -366,6 +366,11 @@ def _lineage_entry(name: str, value: Column, rows: tuple, available_us: Column |
     )
 
 
+def _prefixed(entries: Column, side: str) -> Column:
+    """Lineage entries with the side in front of the feature name."""
+    return F.transform(entries, lambda e: e.withField("feature", F.concat(F.lit(f"{side}_"), e["feature"])))
+
+
 def build_samples(
     tape: DataFrame, policy: SamplePolicy, dataset_id: str = "unspecified_dataset"
 ) -> DataFrame:
@@ -406,13 +411,8 @@ def build_samples(
             F.expr("cast(array() as array<string>)").alias("contract_keys"),
         ),
     )
-    renamed = []
-    for s in SIDES:
-        tagged = F.transform(
-            F.coalesce(F.col(f"_{s}_lineage"), F.array().cast(feats.schema["lineage"].dataType)),
-            lambda e, s=s: e.withField("feature", F.concat(F.lit(f"{s}_"), e["feature"])),
-        )
-        renamed.append(tagged)
+    empty = F.array().cast(feats.schema["lineage"].dataType)
+    renamed = [_prefixed(F.coalesce(F.col(f"_{s}_lineage"), empty), s) for s in SIDES]
     entries = F.concat(F.array_compact(F.array(spot_lineage)), *renamed)
     lineage = F.map_from_entries(
         F.transform(
