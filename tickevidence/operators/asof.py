@@ -135,7 +135,7 @@ def asof_available(
     *,
     by: list[str],
     probe_time: str,
-    available: str,
+    available: str | dict[str, str],
     observed: str,
     available_age: float,
     source_age: float,
@@ -148,9 +148,12 @@ def asof_available(
     Candidates are ordered by (availability, observation time). The newest one is
     chosen first and only then rejected when its availability or its source is
     too old; an older candidate is never used instead. Adds a struct column
-    ``calc`` with the payload, ``available_us`` and ``at_us``. A candidate older
-    than ``available_age`` can never be usable, so it need not reach the probe.
+    ``calc`` with the payload, ``available_us`` and ``at_us``. ``available`` may
+    map several output names to availability columns of the same rows; they are
+    answered by one exchange. A candidate older than ``available_age`` can never
+    be usable, so it need not reach the probe.
     """
+    clocks = {"calc": available} if isinstance(available, str) else available
     tol = to_us(available_age)
     block = default_block_us(tol, 0, block_seconds)
     probe_cols = [c for c in probes.columns if c not in by]
@@ -160,24 +163,32 @@ def asof_available(
         (us(probe_time) * 2 + (0 if strict else 1)).alias("_ord"),
         F.struct(*probe_cols).alias("_probe"),
     )
-    row = F.struct(us(available).alias("available_us"), us(observed).alias("at_us"), *payload)
-    right = candidates.filter(F.col(available).isNotNull()).select(
+    kinds = F.array(
+        *[F.struct(F.lit(name).alias("_kind"), us(col).alias("_at")) for name, col in clocks.items()]
+    )
+    each = candidates.select(*by, observed, *payload, F.inline(kinds)).filter(F.col("_at").isNotNull())
+    right = each.select(
         *by,
-        F.explode(reach_blocks(us(available), block, tol, 0)).alias("_blk"),
-        (us(available) * 2 + (1 if strict else 0)).alias("_ord"),
-        row.alias("_row"),
+        "_kind",
+        F.explode(reach_blocks(F.col("_at"), block, tol, 0)).alias("_blk"),
+        (F.col("_at") * 2 + (1 if strict else 0)).alias("_ord"),
+        F.struct(F.col("_at").alias("available_us"), us(observed).alias("at_us"), *payload).alias("_row"),
     )
     both = left.unionByName(right, allowMissingColumns=True)
     # Equal availability: the later observation is the newer calculation.
     order = W.partitionBy(*by, "_blk").orderBy("_ord", F.col("_row.at_us").asc_nulls_last())
-    hit = F.last("_row", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0))
-    joined = both.select(*by, "_probe", hit.alias("_hit")).filter(F.col("_probe").isNotNull())
+    frame = order.rowsBetween(W.unboundedPreceding, 0)
+    found = [
+        F.last(F.when(F.col("_kind") == name, F.col("_row")), ignorenulls=True).over(frame).alias(f"_f_{name}")
+        for name in clocks
+    ]
+    joined = both.select(*by, "_probe", *found).filter(F.col("_probe").isNotNull())
     clock = us(F.col("_probe")[probe_time])
-    fresh = (clock - F.col("_hit.available_us") <= tol) & (
-        clock - F.col("_hit.at_us") <= to_us(source_age)
-    )
-    return joined.select(
-        *by,
-        *[F.col("_probe")[c].alias(c) for c in probe_cols],
-        F.when(fresh, F.col("_hit")).alias("calc"),
-    )
+    kept = [
+        F.when(
+            (clock - F.col(f"_f_{name}.available_us") <= tol) & (clock - F.col(f"_f_{name}.at_us") <= to_us(source_age)),
+            F.col(f"_f_{name}"),
+        ).alias(name)
+        for name in clocks
+    ]
+    return joined.select(*by, *[F.col("_probe")[c].alias(c) for c in probe_cols], *kept)

@@ -296,19 +296,19 @@ def side_features(tape: DataFrame, samples: DataFrame, policy: SamplePolicy) ->
         .withColumn("segment", F.col("cur.segment"))
         .withColumn("start_at", F.timestamp_micros("start_us"))
     )
-    metrics = {"iv": ["iv"], "greeks": ["delta", "gamma", "theta", "vega"]}
-    for kind, cols in metrics.items():
-        hit = asof_available(
-            hit,
-            quotes.select(*by, "segment", "timestamps", f"{kind}_available_at", "observation_id", "contract_key", *cols),
-            by=[*by, "segment"],
-            probe_time="start_at",
-            available=f"{kind}_available_at",
-            observed="timestamps",
-            available_age=policy.analytics_max_age_seconds,
-            source_age=policy.analytics_source_max_age_seconds,
-            payload=["observation_id", "contract_key", *cols],
-        ).withColumnRenamed("calc", f"{kind}_calc")
+    greeks = ["delta", "gamma", "theta", "vega"]
+    cols = ["observation_id", "contract_key", "iv", *greeks]
+    hit = asof_available(
+        hit,
+        quotes.select(*by, "segment", "timestamps", "iv_available_at", "greeks_available_at", *cols),
+        by=[*by, "segment"],
+        probe_time="start_at",
+        available={"iv_calc": "iv_available_at", "greeks_calc": "greeks_available_at"},
+        observed="timestamps",
+        available_age=policy.analytics_max_age_seconds,
+        source_age=policy.analytics_source_max_age_seconds,
+        payload=cols,
+    )
     cur, prev = F.col("cur"), F.col("prev")
     paired = prev["segment"] == cur["segment"]
     grown = paired & (cur["volume"] >= prev["volume"])
@@ -319,25 +319,21 @@ def side_features(tape: DataFrame, samples: DataFrame, policy: SamplePolicy) ->
         "past_volume_increment": F.when(grown, (cur["volume"] - prev["volume"]).cast("double")),
         "iv_decimal": F.col("iv_calc.iv"),
         "spread_pct": F.when(cur["midpoint"] > 0, 100 * (cur["ask"] - cur["bid"]) / cur["midpoint"]),
-        **{g: F.col(f"greeks_calc.{g}") for g in metrics["greeks"]},
-    }
-    pair, single = (_source(prev), _source(cur)), (_source(cur),)
-    sources = {
-        name: pair if name.startswith("past_") else single
-        for name in ("past_midpoint_return_pct", "past_oi_change_pct", "past_volume_increment", "spread_pct")
+        **{g: F.col(f"greeks_calc.{g}") for g in greeks},
     }
+    flat = hit.select(
+        *by, "anchor_us", "cur", "prev", "iv_calc", "greeks_calc", *[_finite(v).alias(k) for k, v in values.items()]
+    )
     lineage = []
-    for name, value in values.items():
-        if name in sources:
-            lineage.append(_lineage_entry(name, value, sources[name]))
+    for name in values:
+        if name == "iv_decimal":
+            lineage.append(_lineage_entry(name, ["iv_calc"], "iv_calc.available_us"))
+        elif name in greeks:
+            lineage.append(_lineage_entry(name, ["greeks_calc"], "greeks_calc.available_us"))
         else:
-            calc = F.col("iv_calc" if name == "iv_decimal" else "greeks_calc")
-            lineage.append(_lineage_entry(name, value, (_source(calc),), calc["available_us"]))
-    return hit.select(
-        *by,
-        "anchor_us",
-        *[_finite(v).alias(k) for k, v in values.items()],
-        F.filter(F.array(*lineage), lambda e: e.isNotNull()).alias("lineage"),
+            lineage.append(_lineage_entry(name, ["prev", "cur"] if name.startswith("past_") else ["cur"]))
+    return flat.select(
+        *by, "anchor_us", *values, F.expr(f"array_compact(array({', '.join(lineage)}))").alias("lineage")
     )
 
 
@@ -345,24 +341,17 @@ def _finite(col: Column) -> Column:
     return F.when(F.abs(col) < F.lit(float("inf")), col)
 
 
-def _source(row: Column) -> Column:
-    return F.struct(row["observation_id"].alias("id"), row["at_us"].alias("at_us"), row["contract_key"].alias("contract"))
+def _lineage_entry(name: str, rows: list[str], available: str | None = None) -> str:
+    """SQL for where a feature came from and when it could first be known; NULL when
+    the feature has no value."""
 
+    def sorted_set(field: str) -> str:
+        return f"array_sort(array_distinct(array({', '.join(f'{r}.{field}' for r in rows)})))"
 
-def _lineage_entry(name: str, value: Column, rows: tuple, available_us: Column | None = None) -> Column:
-    """Where a finite feature came from and when it could first be known."""
-    items = F.array(*rows)
-    return F.when(
-        _finite(value).isNotNull(),
-        F.struct(
-            F.lit(name).alias("feature"),
-            F.array_sort(F.array_distinct(F.transform(items, lambda r: r["id"]))).alias("observation_ids"),
-            (available_us if available_us is not None else F.array_max(F.transform(items, lambda r: r["at_us"]))).alias(
-                "max_available_us"
-            ),
-            F.array_sort(F.array_distinct(F.transform(items, lambda r: r["at_us"]))).alias("source_us"),
-            F.array_sort(F.array_distinct(F.transform(items, lambda r: r["contract"]))).alias("contract_keys"),
-        ),
+    known = available or f"array_max(array({', '.join(f'{r}.at_us' for r in rows)}))"
+    return (
+        f"if({name} is not null, named_struct('feature', '{name}', 'observation_ids', {sorted_set('observation_id')}, "
+        f"'max_available_us', {known}, 'source_us', {sorted_set('at_us')}, 'contract_keys', {sorted_set('contract_key')}), null)"
     )
 
 
