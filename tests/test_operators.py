@@ -266,10 +266,20 @@ def test_csv_json_and_revisions(spark, tmp_path):
     assert tables.publish_revision({"t": frame}, **args)
     assert not tables.publish_revision({"t": frame}, **args)
     assert tables.read_revision(spark, root, "2026-09-14")["t"].count() == 10
-    part = next((tmp_path / "store" / "data").rglob("*.parquet/part-*.parquet"), None) or next((tmp_path / "store" / "data").rglob("part-*.parquet"))
-    part.write_bytes(part.read_bytes() + b"x")
-    with pytest.raises(ValueError):
-        tables.read_revision(spark, root, "2026-09-14")
+    actual = tables.file_digests(spark, root + "/data", "*.parquet")
+    kept = actual.collect()
+    schema = tables.ARTIFACT_SCHEMA
+    rows = [tuple(r) for r in kept]
+    assert tables.artifact_problems(spark.createDataFrame(rows, schema), actual).isEmpty()
+    path, digest, size = rows[0]
+    for changed, problem in (
+        ((path, "0" * 64, size), "hash_mismatch"),
+        ((path, digest, size + 1), "size_mismatch"),
+        ((path, "xyz", size), "malformed_digest"),
+        (("file:/nowhere", digest, size), "missing"),
+    ):
+        found = tables.artifact_problems(spark.createDataFrame([changed], schema), actual).collect()
+        assert [r["problem"] for r in found] == [problem]
 
 
 def test_replays(spark):
