@@ -447,8 +447,9 @@ def upcoming_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {_HOL_SQL},
 y AS (SELECT date_part('year', date)::INTEGER AS calendar_year, count(*) AS n, count(DISTINCT date_part('quarter', date)) AS q
       FROM hol WHERE date_part('year', date) <> 1997 OR date_part('quarter', date) <> 2 GROUP BY 1)
-SELECT calendar_year, problem FROM y, LATERAL (SELECT unnest([CASE WHEN n < 15 THEN 'too_few' END,
-  CASE WHEN q < 4 THEN 'quarter_without_holiday' END]) AS problem) WHERE problem IS NOT NULL AND problem <> 'too_few'""",
+SELECT calendar_year, unnest(['too_few_holidays']) AS problem FROM y WHERE n < 10
+UNION ALL SELECT calendar_year, 'too_many_holidays' FROM y WHERE n > 80
+UNION ALL SELECT calendar_year, 'quarter_without_holiday' FROM y WHERE q < 4""",
 )
 def calendar_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Years whose calendar cannot be used (one quarter is removed from 1997)."""
