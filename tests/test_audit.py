@@ -26,6 +26,9 @@ def run(spark, tmp_path_factory):
     out, checks, verdict = run_research(spark.read.parquet(source), root, "d", SAMPLING, SEARCH, gate_zone="Asia/Kolkata")
     assert checks.filter("not passed").isEmpty()
     assert verdict.first()["status"] == "PASS"
+    # A second run of the same inputs reads the finished stages.
+    again, _, _ = run_research(spark.read.parquet(source), root, "d", SAMPLING, SEARCH)
+    assert again.samples.inputFiles() == out.samples.inputFiles()
     return out
 
 

@@ -288,3 +288,23 @@ def test_replays(spark):
     fresh, bad = tables.split_replays(batch, stored, "k", "d")
     assert [tuple(r) for r in fresh.collect()] == [("b", "3")]
     assert sorted(tuple(r) for r in bad.collect()) == [("a", "2"), ("b", "4")]
+
+
+def test_daily_job_keeps_published_days(spark, tmp_path):
+    from tickevidence.plans import daily
+
+    names = [*BASE, "trading_date"]
+    data = [(i, *BASE.values(), d) for i, d in enumerate(("2026-09-14", "2026-09-15"))]
+    raw = spark.createDataFrame(data, "source_row bigint, " + ", ".join(f"{n} string" for n in names))
+    raw = cleaning.rename(raw.withColumn("trading_date", F.col("trading_date").cast("date")), {n: n for n in BASE})
+    root, policy = str(tmp_path / "daily"), cleaning.CleaningPolicy(iv_unit="percent")
+    for day in ("2026-09-14", "2026-09-15"):
+        plan = spark.createDataFrame([(day, "READY")], "d string, status string").select(F.col("d").cast("date").alias("trading_date"), "status")
+        out = daily.clean_days(raw, plan, policy, root, "r1", "2026-09-16 00:00:00")
+        assert [r["status"] for r in out.collect()] == ["PUBLISHED"]
+        assert daily.run_status(out).first()["status"] == "COMPLETE"
+    commits = tables.committed(spark, root)
+    assert commits.count() == 2
+    listed = commits.select(F.inline("artifacts"))
+    actual = tables.file_digests(spark, root + "/data", "*.parquet")
+    assert tables.artifact_problems(listed, actual).isEmpty()

@@ -133,11 +133,3 @@ def target_only(df: DataFrame, column: str, target: str) -> tuple[DataFrame, Dat
 
 def target_events(samples: DataFrame, labels: tuple[str, ...]) -> DataFrame:
     return samples.filter(F.col("label").isin(*labels))
-
-
-def fingerprint(artifacts: DataFrame, digest: str, size: str, version: str = "2") -> DataFrame:
-    """One hash over the sorted (digest, size) list of artifacts: a handful per session."""
-    item = F.concat_ws(":", F.col(digest), F.col(size).cast("string"))
-    return artifacts.agg(
-        F.sha2(F.concat_ws(";", F.lit(version), F.array_join(F.array_sort(F.collect_list(item)), ",")), 256).alias("dataset_id")
-    )

@@ -55,8 +55,13 @@ def clean_days(raw: DataFrame, plan: DataFrame, policy: L.CleaningPolicy, root:
     good = gate.filter("passed").select("trading_date")
     folder = os.path.join(root, "data", f"revision={revision}")
     accepted = done.accepted.join(F.broadcast(good), "trading_date", "left_semi")
-    accepted.write.mode("overwrite").partitionBy("trading_date").parquet(folder)
-    done.quarantine.write.mode("overwrite").partitionBy("trading_date").json(os.path.join(root, "quarantine", f"revision={revision}"))
+    # Dynamic overwrite touches only the days of this run, which have no commit yet:
+    # it clears what a stopped attempt left and never a published day.
+    once = {"partitionOverwriteMode": "dynamic"}
+    accepted.write.mode("overwrite").options(**once).partitionBy("trading_date").parquet(folder)
+    done.quarantine.write.mode("overwrite").options(**once).partitionBy("trading_date").json(
+        os.path.join(root, "quarantine", f"revision={revision}")
+    )
     day = F.to_date(F.regexp_extract("path", r"trading_date=(\d{4}-\d{2}-\d{2})", 1))
     files = file_digests(spark, folder, "*.parquet").withColumn("trading_date", day)
     per_day = files.groupBy("trading_date").agg(F.collect_list(F.struct("path", "sha256", "size_bytes")).alias("artifacts"))

@@ -216,9 +216,10 @@ def _linked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 31 == 8, "OTHER").otherwise("BLACK76").alias("calculation_method"), F.date_format(available, stamp).alias("ingestion_time"),
         F.when(k % 13 == 2, F.lit(0.5)).otherwise(F.col("ltp")).alias("option_ltp"),
         F.when(k % 5 != 1, (k + 10) * 1.0).alias("implied_volatility"), "delta", F.when(k % 17 == 3, -1.0).otherwise(F.col("gamma")).alias("gamma"),
-        "theta", "vega", F.lit(0.0).alias("interest_rate"), F.when(k % 37 == 9, F.array(receipt, receipt)).otherwise(F.array(receipt)).alias("derived_receipts"),
+        "theta", "vega", F.lit(0.0).alias("interest_rate"), F.array_repeat(receipt, F.when(k % 37 == 9, 2).otherwise(1)).alias("derived_receipts"),
     )
-    evidence = F.when(k % 7 == 5, F.lit("[]")).when(k % 41 == 10, F.to_json(F.array(calc, calc))).otherwise(F.to_json(F.array(calc)))
+    copies = F.when(k % 7 == 5, 0).when(k % 41 == 10, 2).otherwise(1)
+    evidence = F.to_json(F.array_repeat(calc, copies))
     return rows.withColumn("evidence", evidence)
 
 

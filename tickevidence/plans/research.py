@@ -20,14 +20,17 @@ from tickevidence.operators.quality import require_clean, research_gate
 from tickevidence.sources.tables import file_digests
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was committed (its success marker exists)."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS"))
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def stage(spark: SparkSession, root: str, name: str, inputs: str, make: Callable[[], DataFrame]) -> DataFrame:
     """Write a stage once per input fingerprint; read it when it is complete."""
     path = os.path.join(root, f"{name}-{hashlib.sha256(inputs.encode()).hexdigest()[:16]}")
-    try:
+    if finished(spark, path):
         return spark.read.parquet(path)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-            raise
     frame = make()
     # Overwrite replaces only what a stopped attempt left behind.
     frame.write.mode("overwrite").parquet(path)
