@@ -105,7 +105,7 @@ def posteriors(docs: DataFrame, model: DomainModel, keep: list[str] | None = Non
 
 
 def _totals(soft: DataFrame, d: int, rates: Rates) -> tuple[np.ndarray, np.ndarray, float]:
-    """Expected domain totals at the current rates, the Gram matrix of the free documents, and all tokens.
+    """Expected domain totals at the current rates, the Gram matrix of the documents in use, and all tokens.
 
     One pass over the small staged table; each task returns one row of d + d*d + 1 sums.
     """
@@ -116,7 +116,7 @@ def _totals(soft: DataFrame, d: int, rates: Rates) -> tuple[np.ndarray, np.ndarr
             p = b.column(1).flatten().to_numpy().reshape(-1, d)
             t = b.column(0).to_numpy().astype(np.float64)
             r = rates.of(p)
-            free = t * ((r > 0) & (r < rates.highest))
+            free = t * (r > 0)
             sums[:d] += (t * r) @ p
             sums[d : d + d * d] += (p.T @ (p * free[:, None])).ravel()
             sums[-1] += t.sum()
@@ -136,8 +136,8 @@ def fit_rates(soft: DataFrame, weights: list[float], total: float | None = None,
     Minimises the squared distance between expected domain totals and targets, from
     rates of 1. With documents measured by their tokens, the gradient of a rate is the posterior
     times the residual, so every step is one vector over domains: it is scaled by the
-    Gram matrix of the documents not at a bound, projected onto [0, highest], and
-    halved when the distance did not fall. Documents of equal posteriors get equal rates.
+    Gram matrix of the documents in use and projected onto [0, highest]. When
+    that no longer lowers the distance, plain steps follow, halved where they overshoot. Documents of equal posteriors get equal rates.
 
     ``weights`` are the targets' shares; ``total`` their sum in tokens, by default the
     largest that no domain must be repeated for. Rates above 1 mean repetition.
@@ -153,13 +153,13 @@ def fit_rates(soft: DataFrame, weights: list[float], total: float | None = None,
         wanted = share > 0
         total = float((reached[wanted] / share[wanted]).min())
     targets = share * total
-    step, best = 1.0, rates
+    step, scaled, best = 1.0, True, rates
     distance = float(((reached - targets) ** 2).sum())
     for _ in range(STEPS):
         if np.abs(reached - targets).max() <= CLOSE * tokens or step < 1e-3:
             break
-        metric = gram / tokens + 1e-6 * np.eye(d)
-        move = step * np.linalg.solve(metric, (reached - targets) / tokens)
+        metric, residual = gram / tokens + 1e-6 * np.eye(d), (reached - targets) / tokens
+        move = step * (np.linalg.solve(metric, residual) if scaled else residual / np.linalg.eigvalsh(metric)[-1])
         trial = Rates((*best.steps, tuple(move)), highest, (), ())
         got, trial_gram, _ = _totals(soft, d, trial)
         now = float(((got - targets) ** 2).sum())
@@ -167,6 +167,8 @@ def fit_rates(soft: DataFrame, weights: list[float], total: float | None = None,
             if now > 0.999999 * distance:
                 step = 0.0
             best, reached, gram, distance = trial, got, trial_gram, now
+        elif scaled:
+            scaled = False
         else:
             step /= 2
     return Rates(best.steps, highest, tuple(targets), tuple(reached))
