@@ -7,7 +7,7 @@ import os
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
@@ -15,8 +15,10 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: A blank next to other white space or at an edge: such a text is not cut at its blanks.
 _UNEVEN = re.compile(r"\s | \s|^ | $")
-#: Words remembered per worker; beyond that the memory starts anew.
-MEMORY = 400_000
+#: White space besides the blank and the line feed.
+_RARE = [chr(c) for c in range(128, 0x3001) if chr(c).isspace()] + [*"\t\r\x0b\x0c\x1c\x1d\x1e\x1f"]
+#: Words remembered per worker, about 200 bytes each; beyond that the memory starts anew.
+MEMORY = 800_000
 
 
 def _byte_letters() -> dict[int, int]:
@@ -26,6 +28,25 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(rest)}
 
 
+def _uneven(text: str) -> bool:
+    """Whether _UNEVEN occurs; plain substring tests decide for almost every text."""
+    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " ":
+        return True
+    return any(c in text for c in _RARE) and _UNEVEN.search(text) is not None
+
+
+class _Words(dict):
+    """Ids of blank-led words, made when first asked for."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        made = self[word] = self.make(word)
+        return made
+
+
 class Encoder:
     """Ids of texts as little-endian bytes, two per id for vocabularies up to 65,536 and four beyond.
 
@@ -54,48 +75,42 @@ class Encoder:
         )
         self.tokens = self.full.model.tokenize
         self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.line = self._whole("\n")
+        self.marks = {m: self._whole(m) for m in ",.;:!?"}
+        self.words = _Words(self._word)
 
     def _whole(self, text: str) -> bytes:
         return array(self.code, self.full.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        """One pre-token: a blank and letters, or one mark."""
-        found = self.pieces.get(piece)
-        if found is None:
-            spelled = piece.encode().decode("latin-1").translate(self.letters)
-            found = self.pieces[piece] = array(self.code, [t.id for t in self.tokens(spelled)]).tobytes()
-        return found
+    def _letters(self, word: str, before: str = "\u0120") -> bytes:
+        """A blank (unless ``before`` is empty) and a word of letters only."""
+        spelled = before + (word if word.isascii() else word.encode().decode("latin-1").translate(self.letters))
+        return array(self.code, [t.id for t in self.tokens(spelled)]).tobytes()
 
     def _word(self, word: str) -> bytes:
         """A blank and the characters up to the next blank."""
-        if word[1:].isalpha():
-            return self._piece(word)
-        if word[-1] in ",." and word[1:-1].isalpha():
-            return self._piece(word[:-1]) + self._piece(word[-1])
-        return self._whole(word)
+        if word.isalpha():
+            return self._letters(word)
+        mark = self.marks.get(word[-1])
+        if mark is not None and word[:-1].isalpha():
+            return self.words[word[:-1]] + mark
+        head, line, tail = word.partition("\n")
+        if head and line and tail.isalpha():  # the end of a line, and a first word
+            return self.words[head] + self.line + self._letters(tail, "")
+        return self._whole(" " + word)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [self._whole(t) for t in texts]
-        parts = [None if _UNEVEN.search(t) else t.split(" ") for t in texts]
-        new = set()
-        for p in parts:
-            if p:
-                new.update(p[1:])
-        new -= self.words.keys()
-        for w in new:
-            self.words[w] = self._word(" " + w)
-        get = self.words.__getitem__
-        out = [
-            self._whole(t) if p is None else self._whole(p[0]) + b"".join(map(get, p[1:]))
-            for t, p in zip(texts, parts, strict=True)
-        ]
+        out = []
+        for text in texts:
+            if _uneven(text):
+                out.append(self._whole(text))
+                continue
+            first, *rest = text.split(" ")
+            out.append(self._whole(first) + b"".join(map(self.words.__getitem__, rest)))
         if len(self.words) > MEMORY:
-            self.words = {}
-        if len(self.pieces) > MEMORY:
-            self.pieces = {}
+            self.words = _Words(self._word)
         return out
 
 
