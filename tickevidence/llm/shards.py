@@ -139,10 +139,10 @@ def key_hash() -> Column:
     return F.xxhash64("doc_id", "copy")
 
 
-def _mix(h: np.ndarray, salt: int) -> np.ndarray:
-    """A 64-bit finaliser: multiply and shift rounds over the hash and a salt."""
+def _mix(h: np.ndarray, salt: int | np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser: multiply and shift rounds over the hash and a salt (or salts, against all hashes)."""
     with np.errstate(over="ignore"):
-        x = h ^ (np.uint64(salt) * np.uint64(0x9E3779B97F4A7C15))
+        x = h ^ (np.asarray(salt, np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
@@ -168,7 +168,7 @@ def displacements(hashes: np.ndarray) -> np.ndarray:
             break
         at = 0
         while True:
-            slots = np.stack([_mix(own, int(d) + 2) % np.uint64(n) for d in trial + at]).astype(np.int64)
+            slots = (_mix(own[None], (trial + at + 2)[:, None]) % np.uint64(n)).astype(np.int64)
             good = free[slots].all(axis=1)
             if len(own) > 1:
                 s = np.sort(slots, axis=1)
@@ -183,11 +183,7 @@ def displacements(hashes: np.ndarray) -> np.ndarray:
 
 def slots_of(hashes: np.ndarray, disp: np.ndarray, n: int) -> np.ndarray:
     group = (_mix(hashes, 1) % np.uint64(len(disp))).astype(np.int64)
-    out = np.empty(len(hashes), np.int64)
-    for d in np.unique(disp[group]):
-        own = disp[group] == d
-        out[own] = (_mix(hashes[own], int(d) + 2) % np.uint64(n)).astype(np.int64)
-    return out
+    return (_mix(hashes, disp[group] + 2) % np.uint64(n)).astype(np.int64)
 
 
 def bucket_count(keys: int) -> int:
