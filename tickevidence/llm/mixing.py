@@ -139,8 +139,9 @@ def fit_rates(soft: DataFrame, weights: list[float], total: float | None = None,
     Gram matrix of the documents in use and projected onto [0, highest]. When
     that no longer lowers the distance, plain steps follow, halved where they overshoot. Documents of equal posteriors get equal rates.
 
-    ``weights`` are the targets' shares; ``total`` their sum in tokens, by default the
-    largest that no domain must be repeated for. Rates above 1 mean repetition.
+    ``weights`` are the targets' shares; ``total`` their sum in tokens, by default such
+    that the domain with the largest share is used as it is. Rates above 1 mean repetition,
+    at most ``highest`` times; a domain with too little text then stays below its target.
     """
     d = len(weights)
     share = np.array(weights, float)
@@ -150,8 +151,8 @@ def fit_rates(soft: DataFrame, weights: list[float], total: float | None = None,
     if tokens == 0:
         return Rates((), highest, tuple(share * 0), tuple(share * 0))
     if total is None:
-        wanted = share > 0
-        total = float((reached[wanted] / share[wanted]).min())
+        most = int(share.argmax())
+        total = float(reached[most] / share[most])
     targets = share * total
     step, scaled, best = 1.0, True, rates
     distance = float(((reached - targets) ** 2).sum())

@@ -70,7 +70,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_mix_to_targets")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").filter(~held_out())
-    _, rates, soft = mixing.mix(table(spark, sf_dir, "documents"), labels, domain_of_labels(), DOMAINS)
+    _, rates, soft = mixing.mix(table(spark, sf_dir, "documents"), labels, domain_of_labels(), DOMAINS, highest=4.0)
     mixed = mixing.with_copies(soft, rates)
     shares = [F.get("posterior", F.lit(i)).alias(f"p_{name}") for i, name in enumerate(DOMAINS)]
     return mixed.select("doc_id", "tokens", *shares, "rate", "copies")
