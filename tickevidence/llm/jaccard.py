@@ -3,14 +3,14 @@
 How it goes:
 
 1. A sketch counts in how many documents each shingle occurs (fixed size, every document).
-2. Each document's distinct shingles are ordered by (how frequent, a hash); the first n - ceil(t n) + 1
-   are its prefix. Documents that link share a prefix shingle under any such order, so frequent
-   shingles, which name shared passages, hardly ever open a pair.
+2. Each document's distinct shingles are ordered, rare ones first; the first n - ceil(t n) + 1
+   are its prefix. Documents that link share a prefix shingle under any order, and under these
+   orders shingles of shared passages hardly ever open a pair.
 3. Prefix shingles of the first order that two or more different sets share name the candidates.
    Only for these the full sets and the prefixes of two further orders are made.
 4. Within a shingle's documents, first only the most connected document is paired with the others,
    and verified links merge them. What then lies in one component needs no further
-   pair. Pairs across components remain; all of them are verified.
+   pair. Once few pairs across components are left, all of them are verified.
 5. Before a pair is verified it must share a prefix shingle under the other orders as well.
 
 Equal sets are one node throughout, so copies never make pairs.
@@ -30,12 +30,13 @@ from pyspark.sql import functions as F
 from tickevidence.llm.common import map_arrow, slices, text_or_empty
 from tickevidence.session import stage_table
 
-#: Counters of the frequency sketch (a power of two), and counters in a part of it.
+#: Cells in a row of the frequency sketch, and in a part of it, as powers of two.
 SKETCH_BITS, PART_BITS = 22, 16
 #: Orders besides the first, whose prefixes a pair must share before it is verified.
 FURTHER_ORDERS = 2
-#: Rounds of pairing with the most connected document before all remaining pairs are made.
-STAR_ROUNDS = 3
+#: Rounds of pairing with one document at most, and when they end: all remaining pairs (counted per shingle) are made
+#: as soon as they are no more than this many per posting.
+STAR_ROUNDS, PAIRS_PER_POSTING = 6, 4
 
 _RNG = np.random.default_rng(20_240_607)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -114,12 +115,21 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _cells(tokens: np.ndarray, row: int, bits: int) -> np.ndarray:
+    """The sketch's cell of each token; its two rows place tokens independently."""
+    return ((_mix(tokens, 99) if row else tokens) >> np.uint64(64 - bits)).astype(np.int64)
+
+
 def prefix(tokens: np.ndarray, levels: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The first tokens of a set under one global order: frequency level, then a hash by order, then the token."""
-    bits = np.uint64(64 - int(len(levels)).bit_length() + 1)
-    rank = (levels[(tokens >> bits).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (
-        _mix(tokens, order + 1) >> np.uint64(8)
-    )
+    """The first tokens of a set under one of three global orders, rare ones first.
+
+    Order 0 and 1 go by the level in the sketch's first and second row, order 2 by the
+    higher of both; then by a hash of their own, then by the token.
+    """
+    bits = levels.shape[1].bit_length() - 1
+    found = [levels[r][_cells(tokens, r, bits)] for r in (0, 1) if order in (r, 2)]
+    level = np.maximum(*found) if order == 2 else found[0]
+    rank = (level.astype(np.uint64) << np.uint64(56)) | (_mix(tokens, order + 1) >> np.uint64(8))
     return tokens[np.argsort(rank, kind="stable")[: prefix_length(len(tokens), percent)]]
 
 
@@ -158,32 +168,41 @@ def _emit(array: np.ndarray, part_items: int, task: int) -> pa.RecordBatch:
 
 
 def frequency_levels(texts: DataFrame, words: int, bits: int = SKETCH_BITS) -> np.ndarray:
-    """How frequent each cell of shingles is: 0 up to four times the mean count plus 16, then one level per doubling.
+    """How frequent each cell of shingles is, in two rows of 2**bits cells: 32 times its share of the mean, at most 255.
 
-    Counts documents over the whole table in 2**bits cells; each task sends its cells
-    compressed, and only the merged cells (a fixed 4 MB as levels) reach the driver.
-    Any levels give right results; they steer which shingles come first.
+    Counts documents over the whole table; each task sends its cells compressed, and only
+    the merged cells (a fixed 32 MB, 8 MB as levels) reach the driver. A cell
+    also counts other shingles, so a frequent shingle never looks rare. Any levels
+    give right results; they steer which shingles come first.
     """
     from pyspark import TaskContext
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, held, n = np.zeros(1 << bits, np.uint32), [], 0
+        cells, held, n, any_row = np.zeros((2, 1 << bits), np.uint32), [], 0, False
+
+        def count() -> None:
+            tokens = np.concatenate(held)
+            for r in (0, 1):
+                cells[r] += np.bincount(_cells(tokens, r, bits), minlength=1 << bits).astype(np.uint32)
+
         for _, sets in _sets(batches, words):
-            held += [(s >> np.uint64(64 - bits)).astype(np.int64) for s in sets]
+            any_row = True
+            held += sets
             n += sum(map(len, sets))
             if n > 1 << bits:
-                cells += np.bincount(np.concatenate(held), minlength=1 << bits).astype(np.uint32)
+                count()
                 held, n = [], 0
         if held:
-            cells += np.bincount(np.concatenate(held), minlength=1 << bits).astype(np.uint32)
-            yield _emit(cells, 1 << min(bits, PART_BITS), TaskContext.get().partitionId())
+            count()
+        if any_row:
+            yield _emit(cells.ravel(), 1 << PART_BITS, TaskContext.get().partitionId())
 
-    cells = np.zeros(1 << bits, np.float64)
-    size = 1 << min(bits, PART_BITS)
+    cells = np.zeros(2 << bits, np.uint32)
     for part, body in _merged(texts.mapInArrow(run, "task int, part int, body binary"), "sum"):
-        cells[part * size : (part + 1) * size] = np.frombuffer(zlib.decompress(body), np.uint32)
-    common = 4 * cells.mean() + 16
-    return np.maximum(0, np.ceil(np.log2(np.maximum(cells, 1) / common))).astype(np.uint8)
+        x = np.frombuffer(zlib.decompress(body), np.uint32)
+        cells[part << PART_BITS : (part << PART_BITS) + len(x)] = x
+    mean = max(1.0, float(cells.mean()))
+    return np.minimum(255, cells.astype(np.float32) * np.float32(32 / mean)).astype(np.uint8).reshape(2, -1)
 
 
 def _bloom_cells(x: np.ndarray, size: int) -> list[np.ndarray]:
@@ -317,7 +336,14 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         named = named.select("token", "node", "n", "weight", comp.alias("comp"))
         w = Window.partitionBy("token")
         named = named.withColumn("low", F.min("comp").over(w)).withColumn("high", F.max("comp").over(w)).filter("low < high")
-        if round_ < STAR_ROUNDS:
+        named = stage_table(named.drop("low", "high"), "open")
+        inside = named.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("token")
+        each = inside.agg(((F.sum("k") ** 2 - F.sum(F.col("k") ** 2)) / 2).alias("pairs"), F.sum("k").alias("postings"))
+        size = each.agg(F.sum("pairs"), F.sum("postings")).first()
+        if not size[1]:
+            break
+        last = round_ > 0 and size[0] <= PAIRS_PER_POSTING * size[1] or round_ == STAR_ROUNDS
+        if not last:
             # The most connected document first, then others by a hash that changes with the round.
             first = F.struct(F.when(F.lit(round_ == 0), F.col("weight")).otherwise(F.xxhash64("node", F.lit(round_))).alias("w"), "node", "n", "comp")
             star = named.withColumn("top", F.max(first).over(w)).filter("comp <> top.comp")
@@ -329,10 +355,11 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         fits = F.lit(100) * F.least("nx", "ny") >= F.lit(percent) * F.greatest("nx", "ny")
         pairs = pairs.filter(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         found = stage_table(_verified(pairs, sets, percent), "links")
-        if found.isEmpty():
-            continue
-        links = found if links is None else links.unionByName(found)
-        parts = components(links)
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            parts = components(links)
+        if last:
+            break
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), "node")
     if parts is not None:
         out = out.join(parts, "node", "left").withColumn("comp", F.coalesce("comp", "node")).drop("node")
