@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickevidence.llm.common import map_arrow, slices, text_or_empty
@@ -36,7 +36,7 @@ SKETCH_BITS, PART_BITS = 22, 16
 FURTHER_ORDERS = 2
 #: Rounds of pairing with one document at most, and when they end: all remaining pairs (counted per shingle) are made
 #: as soon as they are no more than this many per posting.
-STAR_ROUNDS, PAIRS_PER_POSTING = 6, 4
+STAR_ROUNDS, PAIRS_PER_POSTING = 3, 4
 
 _RNG = np.random.default_rng(20_240_607)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -264,6 +264,11 @@ def components(edges: DataFrame) -> DataFrame:
     return members.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
+def _needed(x: Column, y: Column, percent: int) -> Column:
+    """The least overlap at which sets of these sizes link: ceil(t (x + y) / (1 + t))."""
+    return F.floor((F.lit(percent) * (x + y) + (99 + percent)) / (100 + percent)).cast("long")
+
+
 # -- the join ---------------------------------------------------------------------------------
 
 
@@ -317,10 +322,13 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     rows = stage_table(texts.mapInArrow(outline, "doc_id long, n long, node long, head array<long>"), "outlines")
 
     # Prefix shingles that different sets share.
-    posted = rows.filter("node IS NOT NULL").select(F.explode("head").alias("token"), "node", "n")
+    posted = rows.filter("node IS NOT NULL").select(F.posexplode("head").alias("at", "token"), "node", "n")
     same = Window.partitionBy("token")
-    shared = posted.withColumn("low", F.min("node").over(same)).withColumn("high", F.max("node").over(same))
-    shared = stage_table(shared.filter("low < high").select("token", "node", "n").distinct(), "shared")
+    shared = posted.withColumns({"low": F.min("node").over(same), "high": F.max("node").over(same), "least": F.min("n").over(same)})
+    # A partner has at least n * t shingles, and the token must not come too late for the smallest one here.
+    smallest = F.greatest(F.col("least"), F.expr(f"({percent} * n + 99) div 100"))
+    shared = shared.filter("low < high").filter(F.col("at") <= F.col("n") - _needed(F.col("n"), smallest, percent))
+    shared = stage_table(shared.select("token", "node", "n", "at").distinct(), "shared")
     weight = shared.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
     nodes = shared.join(weight, "token").groupBy("node").agg(F.sum("size").alias("weight"))
     nodes = stage_table(nodes, "candidates")
@@ -333,7 +341,7 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     for round_ in range(STAR_ROUNDS + 1):
         named = posts if parts is None else posts.join(parts, "node", "left")
         comp = F.col("node") if parts is None else F.coalesce("comp", "node")
-        named = named.select("token", "node", "n", "weight", comp.alias("comp"))
+        named = named.select("token", "node", "n", "at", "weight", comp.alias("comp"))
         w = Window.partitionBy("token")
         named = named.withColumn("low", F.min("comp").over(w)).withColumn("high", F.max("comp").over(w)).filter("low < high")
         named = stage_table(named.drop("low", "high"), "open")
@@ -345,15 +353,17 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         last = round_ > 0 and size[0] <= PAIRS_PER_POSTING * size[1] or round_ == STAR_ROUNDS
         if not last:
             # The most connected document first, then others by a hash that changes with the round.
-            first = F.struct(F.when(F.lit(round_ == 0), F.col("weight")).otherwise(F.xxhash64("node", F.lit(round_))).alias("w"), "node", "n", "comp")
+            first = F.struct(F.when(F.lit(round_ == 0), F.col("weight")).otherwise(F.xxhash64("node", F.lit(round_))).alias("w"), "node", "n", "at", "comp")
             star = named.withColumn("top", F.max(first).over(w)).filter("comp <> top.comp")
-            pairs = star.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("top.node").alias("y"), F.col("top.n").alias("ny"))
+            pairs = star.selectExpr("node x", "n nx", "at ix", "top.node y", "top.n ny", "top.at iy")
         else:
-            left = named.select("token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-            right = named.select("token", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"))
-            pairs = left.join(right, "token").filter("cx < cy").select("x", "nx", "y", "ny")
-        fits = F.lit(100) * F.least("nx", "ny") >= F.lit(percent) * F.greatest("nx", "ny")
-        pairs = pairs.filter(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+            left = named.selectExpr("token", "node x", "n nx", "at ix", "comp cx")
+            right = named.selectExpr("token", "node y", "n ny", "at iy", "comp cy")
+            pairs = left.join(right, "token").filter("cx < cy")
+        # Sizes must allow the similarity, and so must the places of the token: behind the first shared one lies all overlap.
+        need = _needed(F.col("nx"), F.col("ny"), percent)
+        pairs = pairs.filter((need <= F.least("nx", "ny")) & (F.col("ix") <= F.col("nx") - need) & (F.col("iy") <= F.col("ny") - need))
+        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         found = stage_table(_verified(pairs, sets, percent), "links")
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
