@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -86,16 +87,16 @@ def fit_softmax(
         v = a.T @ (share * (a @ v))
         size = np.sqrt((v * v).sum())
         v /= max(size, np.float32(1e-12))
-    curve = np.float32(0.55 * size + ridge)
+    curve = float(0.55 * size + ridge)
     ahead, momentum = w, 1.0
     for _ in range(steps):
         z = a @ ahead
         z -= z.max(axis=1, keepdims=True)
-        p = np.exp(z)
+        p = np.exp(np.maximum(z, np.float32(-60)))
         p /= p.sum(axis=1, keepdims=True)
         grad = a.T @ ((p - target) * share[:, None]) + ridge * ahead
         new = ahead - grad / curve
-        following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
+        following = (1 + math.sqrt(1 + 4 * momentum**2)) / 2  # a plain float keeps the arrays at 32 bits
         ahead = new + (momentum - 1) / following * (new - w)
         w, momentum = new, following
     return w
@@ -123,8 +124,9 @@ class Scorer:
         for text in texts:
             words = text.split()
             distinct = set(words)
-            for w in distinct - self.seen.keys():
-                self.seen[w] = self._of(w)
+            for w in distinct:
+                if w not in self.seen:
+                    self.seen[w] = self._of(w)
             found = set(chain.from_iterable(map(self.seen.__getitem__, distinct)))
             found.update(self.index[f] for f in shape_features(text, words) if f in self.index)
             out.append((np.fromiter(found, np.int64, len(found)), len(words)))
