@@ -100,8 +100,14 @@ def with_partition(samples: DataFrame, policy: SearchPolicy) -> DataFrame:
 
 
 def training_rows(samples: DataFrame, policy: SearchPolicy) -> DataFrame:
-    tagged = with_partition(samples, policy)
-    return tagged.filter((F.col("partition") == "discovery") & (F.col("label") != "UNKNOWN"))
+    """Known rows of the discovery sessions; none unless there are evaluation sessions as well.
+
+    A rule without a session to test it on must not be frozen.
+    """
+    days = partition_days(samples, policy).withColumn("_one", F.lit(1))
+    tests = days.filter("partition = 'evaluation'").select("_one").distinct()
+    ready = days.filter("partition = 'discovery'").join(tests, "_one", "left_semi").drop("_one")
+    return samples.join(F.broadcast(ready), "trading_date").filter(F.col("label") != "UNKNOWN")  # one row per calendar day
 
 
 def single_thresholds(train: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:
@@ -383,9 +389,11 @@ def rule_summaries(
         *_stats("baseline_", F.col("available")),
     )
     spaced = hits.groupBy(*keys).agg(*_stats("nonoverlapping_", F.col("nonoverlapping")))
-    out = main.join(spaced, keys, "left")
-    counted = [c for c in spaced.columns if c not in keys]
-    out = out.fillna(0, subset=counted)
+    # Every frozen rule (at most ``max_conditions``) has a row for both partitions.
+    both = F.explode(F.array(F.lit("discovery"), F.lit("evaluation"))).alias("partition")
+    grid = rules.select("condition_id").distinct().select("condition_id", both)
+    out = grid.join(main, keys, "left").join(spaced, keys, "left")
+    out = out.fillna(0, subset=[c for c in (*main.columns, *spaced.columns) if c not in keys])
     for prefix in ("", "nonoverlapping_", "baseline_"):
         out = out.withColumn(
             f"{prefix}event_rate", F.try_divide(f"{prefix}successes", f"{prefix}known_outcomes")

@@ -72,20 +72,22 @@ def with_segments(
 
     Breaks need only the rows of the last ``max_gap`` seconds, so blocks are
     detected independently with that much overlap; the counts of earlier blocks
-    are then added.
+    are then added. Rows without a time stay, with a NULL segment, and break nothing.
     """
     gap = to_us(max_gap)
     block = to_us(block_seconds) if block_seconds else max(16 * gap, 3600 * 1_000_000)
     own = block_of(us(time), block)
     overlap = block_of(us(time) + F.lit(gap).cast("bigint"), block)
-    spread = df.withColumn("_own", own).withColumn("_blk", F.explode(F.sequence(own, overlap)))
+    spread = df.withColumn("_own", own).withColumn("_blk", F.explode_outer(F.sequence(own, overlap)))
     order = W.partitionBy(*by, "_blk").orderBy(time, tie)
     is_break = F.lag(time).over(order).isNull() | (
         us(time) - us(F.lag(time).over(order)) > gap
     )
     if contract:
         is_break = is_break | ~F.lag(contract).over(order).eqNullSafe(F.col(contract))
-    marked = spread.withColumn("_break", is_break.cast("bigint")).filter(F.col("_own") == F.col("_blk"))
+    dated = F.col(time).isNotNull()
+    breaks = F.when(dated, is_break.cast("bigint")).otherwise(0)
+    marked = spread.withColumn("_break", breaks).filter(F.col("_own").eqNullSafe(F.col("_blk")))
     run = F.sum("_break").over(order.rowsBetween(W.unboundedPreceding, 0))
     local = marked.withColumn("_run", run)
     sums = local.groupBy(*by, "_blk").agg(F.sum("_break").alias("n"))
@@ -93,7 +95,7 @@ def with_segments(
     shift = 0 if contract else 1
     return (
         _join_carry(local, carry, by)
-        .withColumn(name, F.col("_run") + F.coalesce("_before_n", F.lit(0)) - F.lit(shift))
+        .withColumn(name, F.when(dated, F.col("_run") + F.coalesce("_before_n", F.lit(0)) - F.lit(shift)))
         .drop("_own", "_blk", "_break", "_run", "_before_n")
     )
 

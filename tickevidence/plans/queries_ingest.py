@@ -454,16 +454,19 @@ def bulk_append_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "current_revisions",
-    """WITH p AS (SELECT CAST(o_orderdate AS DATE) AS d, o_orderkey AS rev, CASE WHEN o_orderstatus = 'P' THEN 'NO_DATA' ELSE 'PUBLISHED' END AS status FROM orders),
+    """WITH p AS (SELECT CAST(o_orderdate AS DATE) AS d, o_orderkey AS rev, CASE WHEN o_orderstatus = 'P' THEN 'NO_DATA'
+  WHEN o_orderkey % 3 = 0 THEN 'PUBLISHED' WHEN o_orderkey % 3 = 1 THEN 'RETRY_PENDING' ELSE 'LOCAL_PASS' END AS status FROM orders),
 n AS (SELECT d, max(rev) AS rev, arg_max(status, rev) AS status FROM p GROUP BY d)
-SELECT CAST(d AS VARCHAR) AS trading_date, rev AS revision FROM n WHERE status = 'PUBLISHED' AND date_part('day', d) <> 1""",
+SELECT CAST(d AS VARCHAR) AS trading_date, rev AS revision FROM n WHERE status <> 'NO_DATA' AND date_part('day', d) <> 1""",
 )
 def current_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest revision of each open day."""
     day = F.col("o_orderdate").cast("date")
     rows = table(spark, sf_dir, "orders").select(
         day.alias("trading_date"), F.col("o_orderkey").alias("revision"), F.col("o_orderkey").alias("finished_at"),
-        F.when(F.col("o_orderstatus") == "P", "NO_DATA").otherwise("PUBLISHED").alias("status"),
+        F.when(F.col("o_orderstatus") == "P", "NO_DATA").otherwise(
+            F.element_at(F.array(*map(F.lit, S.CURRENT)), (F.col("o_orderkey") % 3 + 1).cast("int"))
+        ).alias("status"),
     )
     closed = rows.filter(F.dayofmonth("trading_date") == 1)
     good, _ = S.current_revisions(rows, closed)

@@ -13,6 +13,7 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickevidence.operators.explorer import latest_per_key
 
@@ -27,22 +28,24 @@ COMMIT_SCHEMA = (
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of the first line; blank or repeated names are an error."""
+    """Names of the first line as they stand; names that are blank or repeated, white space aside, are an error."""
     first = spark.read.text(path).limit(1).select(F.regexp_replace("value", "^﻿", "").alias("v"))
     rows = first.collect()
     if not rows:
         raise ValueError("empty file")
     names = next(csv.reader(io.StringIO(rows[0]["v"])))
-    names = [n.strip() for n in names]
-    if any(not n for n in names) or len(set(names)) != len(names):
+    trimmed = [n.strip() for n in names]
+    if any(not n for n in trimmed) or len(set(trimmed)) != len(names):
         raise ValueError("header names must be non-empty and unique")
     return names
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text; a line with another number of fields fails the read."""
-    schema = ", ".join(f"`{n}` string" for n in csv_header(spark, path))
-    return spark.read.schema(schema).csv(path, header=True, enforceSchema=True, mode="FAILFAST", encoding="UTF-8")
+    """Every column as text; a line with another number of fields fails the read, and so does a file with another header."""
+    names = csv_header(spark, path)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rows = spark.read.schema(schema).csv(path, header=True, enforceSchema=False, mode="FAILFAST", encoding="UTF-8")
+    return rows.toDF(*(n.strip() for n in names))
 
 
 def read_json_lines(spark: SparkSession, path: str, fields: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -107,16 +110,21 @@ def dataset_id(artifacts: DataFrame, version: str = "2") -> DataFrame:
     )
 
 
+# Statuses of a usable revision.
+CURRENT = ("PUBLISHED", "RETRY_PENDING", "LOCAL_PASS")
+
+
 def current_revisions(progress: DataFrame, closed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(selected, skipped): the newest revision of each date, without closed or empty days.
 
-    ``progress`` has trading_date, revision, finished_at and status.
+    ``progress`` has trading_date, revision, finished_at and status. Days whose newest
+    revision was published, or passed locally and waits for its upload, are current.
     """
     newest = latest_per_key(progress, ["trading_date"], ["finished_at", "revision"])
     marked = newest.join(
         F.broadcast(closed.select("trading_date").distinct().withColumn("_closed", F.lit(True))), "trading_date", "left"
     )
-    reason = F.when(F.col("_closed"), "holiday").when(F.col("status") != "PUBLISHED", F.lower("status"))
+    reason = F.when(F.col("_closed"), "holiday").when(~F.col("status").isin(*CURRENT), F.lower("status"))
     tagged = marked.withColumn("reason", reason).drop("_closed")
     return tagged.filter(F.col("reason").isNull()).drop("reason"), tagged.filter(F.col("reason").isNotNull())
 

@@ -101,8 +101,8 @@ def slot_gaps(df: DataFrame, *, by: str, time: str, seconds: float, watermark: s
     """Missed slots between consecutive slots of a symbol: (symbol, after, before, missed).
 
     Rows are reduced to one per (symbol, slot) first, so a busy symbol's state
-    function sees at most one row per slot. Slots must arrive in order per symbol
-    across batches; late ones are rejected upstream.
+    function sees at most one row per slot. The state is the newest slot, so slots
+    that come late report nothing and do not move it back.
     """
     step = to_us(seconds)
 
@@ -110,8 +110,8 @@ def slot_gaps(df: DataFrame, *, by: str, time: str, seconds: float, watermark: s
         last = state.get[0] if state.exists else None
         slots = pd.concat([f["slot_us"] for f in frames]).sort_values().drop_duplicates()
         before = slots.shift()
-        if last is not None and len(slots):
-            before.iloc[0] = last
+        if last is not None:  # a late slot opens no gap behind the newest one
+            before = before.fillna(last).clip(lower=last)
         missed = (slots - before) // step - 1
         hole = missed > 0
         if hole.any():
@@ -125,7 +125,8 @@ def slot_gaps(df: DataFrame, *, by: str, time: str, seconds: float, watermark: s
                 }
             )
         if len(slots):
-            state.update((int(slots.iloc[-1]),))
+            newest = int(slots.iloc[-1])
+            state.update((newest if last is None else max(newest, last),))
 
     slots = (
         df.withColumn("slot", align(time, seconds))
