@@ -58,8 +58,8 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Texts without tokens weigh nothing and stay.
     """
     labels = table(spark, sf_dir, "labels").filter(~held_out())
-    model, rates, _ = mixing.mix(docs, labels, domain_of_labels(), DOMAINS, highest=1.0)
-    mixed = mixing.with_copies(mixing.posteriors(docs, model, COLUMNS), rates)
+    _, rates, soft = mixing.mix(docs, labels, domain_of_labels(), DOMAINS, highest=1.0, keep=COLUMNS)
+    mixed = mixing.with_copies(soft, rates)
     return mixed.filter("copies > 0 OR tokens = 0").select(*COLUMNS)
 
 

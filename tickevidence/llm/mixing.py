@@ -195,9 +195,19 @@ def with_copies(soft: DataFrame, rates: Rates, seed: int = 23, key: str = "doc_i
     return out.withColumn("copies", (whole + (draw < F.col("rate") - whole).cast("int")).cast("long"))
 
 
-def mix(docs: DataFrame, labelled: DataFrame, domain: Column, weights: dict[str, float], highest: float = float("inf")) -> tuple[DomainModel, Rates, DataFrame]:
-    """Classifier, rates and the staged table (doc_id, tokens, posterior) behind them."""
+def mix(
+    docs: DataFrame,
+    labelled: DataFrame,
+    domain: Column,
+    weights: dict[str, float],
+    highest: float = float("inf"),
+    keep: list[str] | None = None,
+) -> tuple[DomainModel, Rates, DataFrame]:
+    """Classifier, rates and the staged table (kept columns, tokens, posterior) behind them.
+
+    Every text is scored once; the steps of the fit read tokens and posteriors from the staged table alone.
+    """
     names = list(weights)
     model = fit_domains(docs, labelled, domain, names)
-    soft = stage_table(posteriors(docs, model), "posteriors")
+    soft = stage_table(posteriors(docs, model, keep), "posteriors")
     return model, fit_rates(soft, [weights[n] for n in names], highest=highest), soft

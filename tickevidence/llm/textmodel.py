@@ -6,6 +6,7 @@ import math
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -15,32 +16,34 @@ MAX_FEATURES, MEMORY = 2_048, 400_000
 _MARKS = ".,;:!?\"'()[]{}|#*$%&<>"
 
 
-def word_features(word: str) -> list[str]:
+_BEGINNINGS = (4, 5, 6)
+
+
+@lru_cache(maxsize=200_000)
+def word_features(word: str) -> tuple[str, ...]:
     """The word without its marks in lower case, and its beginnings, which endings do not change."""
     w = word.strip(_MARKS).lower()
-    return [f"w {w}", *(f"p {w[:k]}" for k in (4, 5, 6) if len(w) > k)] if w else []
+    return (f"w {w}", *(f"p {w[:k]}" for k in _BEGINNINGS if len(w) > k)) if w else ()
 
 
-def shape_features(text: str, words: list[str]) -> list[str]:
+def shape_features(text: str, words: list[str], distinct: set[str]) -> list[str]:
     """Coarse steps of how the whole text looks: capitals, marks, repetition, length."""
     n = max(1, len(text))
     letters = sum(map(str.isupper, words))
-    marks = n - len(text.translate(_NO_MARKS))
+    marks = sum(map(text.count, _MARKS)) if text else 1
     shares = {
         "upper": letters / max(1, len(words)),
         "marks": 4 * marks / n,
-        "same": 1 - len(set(words)) / max(1, len(words)),
+        "same": 1 - len(distinct) / max(1, len(words)),
     }
     steps = [f"s {k} {min(9, int(10 * v))}" for k, v in shares.items()]
     return [*steps, f"s words {len(words).bit_length()}"]
 
 
-_NO_MARKS = str.maketrans("", "", _MARKS)
-
-
 def text_features(text: str) -> set[str]:
     words = text.split()
-    return set(chain.from_iterable(map(word_features, set(words)))) | set(shape_features(text, words))
+    distinct = set(words)
+    return set(chain.from_iterable(map(word_features, distinct))) | set(shape_features(text, words, distinct))
 
 
 @dataclass(frozen=True)
@@ -66,8 +69,8 @@ def choose_features(sets: list[set[str]], classes: list[int], most: int = MAX_FE
         for f, count in total.items():
             if count >= 3:
                 a, b = own[f], count - own[f]
-                odds = np.log((a + 0.5) / (m - a + 0.5)) - np.log((b + 0.5) / (n - m - b + 0.5))
-                value[f] = max(value.get(f, 0.0), abs(odds) * np.sqrt(count))
+                odds = math.log((a + 0.5) / (m - a + 0.5)) - math.log((b + 0.5) / (n - m - b + 0.5))
+                value[f] = max(value.get(f, 0.0), abs(odds) * math.sqrt(count))
     shapes = sorted(f for f in total if f.startswith("s "))
     best = sorted((f for f in value if not f.startswith("s ")), key=lambda f: (-value[f], f))[:most]
     return Vocabulary({f: i for i, f in enumerate(shapes + best)})
@@ -108,15 +111,30 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
+class _Seen(dict[str, tuple[int, ...]]):
+    """The feature numbers of a word, found when it is first asked for."""
+
+    def __init__(self, index: dict[str, int]):
+        super().__init__()
+        self.whole = {f[2:]: i for f, i in index.items() if f.startswith("w ")}
+        self.beginning = {f[2:]: i for f, i in index.items() if f.startswith("p ")}
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        w = word.strip(_MARKS).lower()
+        found = [self.whole[w]] if w in self.whole else []
+        for k in _BEGINNINGS:
+            if len(w) > k and w[:k] in self.beginning:
+                found.append(self.beginning[w[:k]])
+        self[word] = numbers = tuple(found)
+        return numbers
+
+
 class Scorer:
     """Finds a model's features in texts; words seen before cost one look-up."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.index = vocabulary.index
-        self.seen: dict[str, tuple[int, ...]] = {}
-
-    def _of(self, word: str) -> tuple[int, ...]:
-        return tuple(self.index[f] for f in word_features(word) if f in self.index)
+        self.seen = _Seen(self.index)
 
     def rows(self, texts: Iterable[str]) -> list[tuple[np.ndarray, int]]:
         """Feature numbers of each text and its word count."""
@@ -124,12 +142,9 @@ class Scorer:
         for text in texts:
             words = text.split()
             distinct = set(words)
-            for w in distinct:
-                if w not in self.seen:
-                    self.seen[w] = self._of(w)
             found = set(chain.from_iterable(map(self.seen.__getitem__, distinct)))
-            found.update(self.index[f] for f in shape_features(text, words) if f in self.index)
+            found.update(self.index[f] for f in shape_features(text, words, distinct) if f in self.index)
             out.append((np.fromiter(found, np.int64, len(found)), len(words)))
             if len(self.seen) > MEMORY:
-                self.seen = {}
+                self.seen.clear()
         return out
