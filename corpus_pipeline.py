@@ -29,18 +29,18 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near duplicates.
+    """The row with the smallest doc_id of each group of near duplicates, and of equal ids the first one.
 
-    Of rows that repeat a doc_id with a linked or equal text one stays; rows without words are
-    no duplicates of anything and all stay.
+    Decided by row: rows that share a doc_id, or have none, are compared by their texts like all
+    others. NULL ids come last. Rows without words are no duplicates of anything and all stay.
     """
-    linked = stage_table(jaccard.link_components(docs, SHINGLE_WORDS, SIMILARITY), "linked")
-    dropped = linked.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(dropped, "doc_id", "left_anti")
-    # A doc_id on several rows: its linked rows are equal or near, and one stays.
-    repeated = linked.filter("n_shingles > 0").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    again = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(again)
+    # The staged key names a row; as the id of the join it also names each component.
+    rows = stage_table(docs.select(*COLUMNS).withColumn("row_key", F.monotonically_increasing_id()), "rows")
+    linked = jaccard.link_components(rows.select(F.col("row_key").alias("doc_id"), "text"), SHINGLE_WORDS, SIMILARITY)
+    linked = linked.select(F.col("doc_id").alias("row_key"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
+    first = linked.join(rows.select("row_key", "doc_id"), "row_key").groupBy("component_id").agg(F.min(order).alias("first"))
+    return rows.join(first.select("first.row_key"), "row_key", "left_semi").select(*COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

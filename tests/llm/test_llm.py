@@ -408,6 +408,21 @@ def test_pipeline(spark):
     assert got == want
 
 
+def test_near_duplicates_are_dropped_by_row(spark):
+    import corpus_pipeline as pipeline
+
+    one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    rows = [(1, one), (2, one), (2, two), (2, None), (2, " "), (2, "")]  # row 2 links to 1 with one of its texts only
+    rows += [(7, three), (7, three + " end"), (7, "some quite different words under the same id"), (7, "and again others, which no row has")]
+    rows += [(None, one), (None, "a text that has no id and no equal"), (None, "twice without an id or more"), (None, "twice without an id or more"), (None, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = collections.Counter((r["doc_id"], r["text"]) for r in pipeline.one_of_each_group(spark, docs, "").collect())
+    near = [k for k in got if k[0] == 7 and k[1] in (three, three + " end")]
+    assert len(near) == 1 and got.pop(near[0]) == 1
+    want = [(1, one), (2, two), (2, None), (2, " "), (2, ""), *rows[8:10], (None, rows[11][1]), (None, rows[12][1]), (None, None)]
+    assert got == collections.Counter(want)
+
+
 def test_sql_parses():
     for sql in ORACLES.values():
         assert duckdb.connect().execute("SELECT json_serialize_sql(?)", [sql]).fetchone()
