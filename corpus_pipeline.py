@@ -53,7 +53,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents at their fitted rates, at most once each; a document's draw is a hash of its doc_id.
+    """Documents at their fitted rates, at most once each; a row's draw is a hash of its doc_id and text.
 
     Texts without tokens weigh nothing and stay.
     """

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickevidence.llm import encoding, hostrules, jaccard, mixing, packing, quality, secrets, sharding, shards, topk, toxicity
-from tickevidence.llm.common import held_out
+from tickevidence.llm.common import held_out, labelled_texts
 from tickevidence.llm.queries import CATEGORIES, DOMAINS, ORACLES, QUERIES, domain_of_labels, tokenizer
 
 SF = "/root/testdata/sf0.001"
@@ -423,6 +423,25 @@ def test_near_duplicates_are_dropped_by_row(spark):
     assert got == collections.Counter(want)
 
 
+def test_mixing_counts_labels_of_the_texts_at_hand(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(rng.choice([f"w{k}" for k in range(50)], 30))) for i in range(304)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "good" if i < 300 else "poor") for i in range(604)], "doc_id long, d string")  # 300 poor texts are gone
+    model = mixing.fit_domains(docs, labels, F.col("d"), ["good", "poor"])
+    soft = mixing.posteriors(docs.filter("doc_id < 300"), model)
+    assert soft.agg(F.avg(F.get("posterior", F.lit(1)))).first()[0] < 0.1
+    sample, counts = labelled_texts(docs.unionByName(docs.filter("doc_id = 7")), labels, "d", 4, 1000)
+    assert counts == {"good": 301, "poor": 4}
+    assert sorted(t for t, d in sample if d == "poor") == sorted(t for i, t in rows if i >= 300)
+    # Rows that share an id draw by themselves, whether their texts differ or not.
+    for text in (F.concat(F.lit("a "), F.col("id").cast("string")), F.lit("a b")):
+        same = spark.range(2000).select(F.lit(1).alias("doc_id"), text.alias("text"))
+        soft = mixing.posteriors(same, mixing.DomainModel(("good", "poor"), None, None))
+        rates = mixing.Rates(((0.5, 0.5),), 1.0, (1.0, 1.0), (1.0, 1.0))
+        assert 800 < mixing.with_copies(soft, rates).agg(F.sum("copies")).first()[0] < 1200
+
+
 def test_sql_parses():
     for sql in ORACLES.values():
         assert duckdb.connect().execute("SELECT json_serialize_sql(?)", [sql]).fetchone()

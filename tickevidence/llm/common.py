@@ -6,9 +6,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickevidence.session import stage_table
+
 #: The white space that separates words: space and U+0009 to U+000D.
 SPACE = "\\x20\\x09-\\x0D"
 
@@ -65,6 +67,37 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, m
     return out
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, rows: int, max_chars: int) -> tuple[list, dict]:
+    """At most ``rows`` texts of each class among the labelled documents at hand, and how many of these each class has.
+
+    Labels whose document is not in ``docs`` count nowhere; every row of a repeated doc_id does. Rows are drawn by
+    a hash of doc_id, content and copy number, equal rows being numbered by their counts per task, so no task
+    lists a frequent document alone. Texts above ``max_chars`` are counted and left to the scoring pass.
+    """
+    ids = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", label).distinct()
+    body = text_or_empty()
+    texts = docs.select("doc_id", body.alias("text"), F.xxhash64(body).alias("content"), F.length(body).alias("size"))
+    held = texts.select("doc_id", "content", "size", F.spark_partition_id().alias("task")).join(ids, "doc_id")
+    held = stage_table(held.groupBy("doc_id", label, "content", "size", "task").agg(F.count(F.lit(1)).alias("n")), "labelled")
+    counts = {r[0]: r["n"] for r in held.groupBy(label).agg(F.sum("n").alias("n")).collect()}
+    earlier = Window.partitionBy("doc_id", label, "content", "size").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    copies = held.filter(F.col("size") <= max_chars).withColumn("before", before)
+    copies = copies.select("doc_id", label, "content", F.explode(F.sequence("before", F.col("before") + F.col("n") - 1)).alias("copy"))
+    draw = F.xxhash64("doc_id", "content", "copy", F.lit("sample"))
+    chosen = None
+    for value in sorted(counts):
+        some = copies.filter(F.col(label) == value).orderBy(draw, "doc_id", "content", "copy").limit(rows)
+        chosen = some if chosen is None else chosen.unionByName(some)
+    if chosen is None:
+        return [], {}
+    chosen = chosen.groupBy("doc_id", label, "content").agg(F.count(F.lit(1)).alias("times"))
+    found = texts.filter(F.col("size") <= max_chars).join(F.broadcast(chosen), ["doc_id", "content"])
+    found = found.dropDuplicates(["doc_id", label, "content"]).select("doc_id", label, "content", "text", "times").collect()
+    found.sort(key=lambda r: (r[1], r["content"], r["doc_id"]))
+    return [(r["text"], r[1]) for r in found for _ in range(r["times"])], counts
+
+
 def fit_logistic(
     x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1e-3, steps: int = 40
 ) -> tuple[np.ndarray, float]:

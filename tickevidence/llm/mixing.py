@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickevidence.llm.common import labelled_sample, map_arrow, text_or_empty
+from tickevidence.llm.common import labelled_texts, map_arrow, text_or_empty
 from tickevidence.llm.textmodel import Scorer, Vocabulary, choose_features, fit_softmax, softmax, text_features
 from tickevidence.session import stage_table
 
@@ -47,14 +47,13 @@ class Rates:
 def fit_domains(docs: DataFrame, labelled: DataFrame, domain: Column, names: list[str]) -> DomainModel:
     """The classifier of domains from a labelled table: ``domain`` is a Column over it, one of ``names``.
 
-    Bounded sample per domain (see the constants), weighted back to the domains' counts
-    over all labels. Domains without labelled texts get no mass; with fewer than
+    Bounded sample per domain (see the constants) of the labelled rows in ``docs``, weighted back to
+    the domains' counts among these. Domains without labelled texts get no mass; with fewer than
     two, all documents belong to the one (or to all alike).
     """
     number = F.array_position(F.array(*(F.lit(n) for n in names)), domain).cast("int") - 1
     coded = labelled.select("doc_id", number.alias("code")).filter(F.col("code") >= 0)
-    counts = {r["code"]: r["n"] for r in coded.groupBy("code").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sample = [x for part in (0, 1) for x in labelled_sample(docs, coded, "code", TEXTS // 2, MAX_CHARS, part)]
+    sample, counts = labelled_texts(docs, coded, "code", TEXTS, MAX_CHARS)
     codes = np.array([c for _, c in sample], np.int64)
     if len(set(codes.tolist())) < 2:
         return DomainModel(tuple(names), None, None)
@@ -70,13 +69,14 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domain: Column, names: lis
 
 
 def posteriors(docs: DataFrame, model: DomainModel, keep: list[str] | None = None) -> DataFrame:
-    """Kept columns, ``tokens`` (words between white space) and ``posterior`` (by domain) of every whole text.
+    """Kept columns, ``tokens`` (words between white space), ``posterior`` (by domain) and ``content`` (a hash) of every whole text.
 
     NULL and empty texts have no tokens and so no weight. One scan, no shuffle.
     """
     keep = keep or ["doc_id"]
     names = [f"k{i}" for i in range(len(keep))]
     rows = docs.select(*(F.col(c).alias(n) for c, n in zip(keep, names, strict=True)), text_or_empty().alias("body"))
+    rows = rows.withColumn("hashed", F.xxhash64("body"))
     memo: dict = {}
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -95,13 +95,14 @@ def posteriors(docs: DataFrame, model: DomainModel, keep: list[str] | None = Non
                 *batch.columns[: len(names)],
                 pa.array([n for _, n in found], pa.int64()),
                 pa.ListArray.from_arrays(offsets, pa.array(p.ravel())),
+                batch.column(len(names) + 1),
             ],
-            names=[*names, "tokens", "posterior"],
+            names=[*names, "tokens", "posterior", "content"],
         )
 
     schema = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names)
-    out = map_arrow(rows, [*names, "body"], run, f"{schema}, tokens long, posterior array<double>")
-    return out.select(*(F.col(n).alias(c) for n, c in zip(names, keep, strict=True)), "tokens", "posterior")
+    out = map_arrow(rows, [*names, "body", "hashed"], run, f"{schema}, tokens long, posterior array<double>, content long")
+    return out.select(*(F.col(n).alias(c) for n, c in zip(names, keep, strict=True)), "tokens", "posterior", "content")
 
 
 def _totals(soft: DataFrame, d: int, rates: Rates) -> tuple[np.ndarray, np.ndarray, float]:
@@ -176,23 +177,32 @@ def fit_rates(soft: DataFrame, weights: list[float], total: float | None = None,
 
 
 def with_copies(soft: DataFrame, rates: Rates, seed: int = 23, key: str = "doc_id") -> DataFrame:
-    """Adds rate and copies: the rate's whole part, and one more with the probability of the rest, by a hash of the key.
+    """Adds rate and copies: the rate's whole part, and one more with the probability of the rest.
 
-    Works on every kept column; equal keys draw alike.
+    The draw is a hash of the key, the text's content and the row's number among equal ones of its task, so rows
+    that share a key draw by themselves. Works on every kept column.
     """
     cols = soft.columns
     at = cols.index("posterior")
     d = len(rates.targets)
+    seen: dict[int, int] = {}
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         r = rates.of(batch.column(at).flatten().to_numpy().reshape(-1, d))
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(r)], names=[*cols, "rate"])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in soft.schema) + ", rate double"
-    out = map_arrow(soft, cols, run, schema, 2000)
-    draw = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) / 1_000_000
+        copy = []
+        for name in batch.column(len(cols)).to_pylist():
+            copy.append(seen.get(name, 0))
+            seen[name] = copy[-1] + 1
+        added = [batch.column(len(cols)), pa.array(copy, pa.int64()), pa.array(r)]
+        return pa.RecordBatch.from_arrays([*batch.columns[: len(cols)], *added], names=[*cols, "_row", "_copy", "rate"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in soft.schema) + ", _row long, _copy long, rate double"
+    named = soft.withColumn("_row", F.xxhash64(key, "content"))
+    out = map_arrow(named, [*cols, "_row"], run, schema, 2000)
+    draw = F.pmod(F.xxhash64("_row", "_copy", F.lit(seed)), F.lit(1_000_000)) / 1_000_000
     whole = F.floor("rate")
-    return out.withColumn("copies", (whole + (draw < F.col("rate") - whole).cast("int")).cast("long"))
+    out = out.withColumn("copies", (whole + (draw < F.col("rate") - whole).cast("int")).cast("long"))
+    return out.drop("_row", "_copy")
 
 
 def mix(
