@@ -131,6 +131,26 @@ def test_secret_flow(text, literals):
     assert all(x not in masked for x in literals) and masked.count("<SECRET>") == len(literals)
 
 
+def test_secret_flow_has_no_bounds():
+    marks = lambda text: [text[a:b] for _, a, b in secrets.flow_spans(text)]
+    key = "q8Zx71LmPw03KdTT"
+    for gap in (" " * 17, "\t" * 500):
+        assert marks(f'aws_secret_access_key{gap}= "{key}"') == [key]
+        assert marks(f"client_credential:{gap}{key}") == [key]
+    assert marks("x" * 300 + f'_secret_key = "{key}"') == [key]
+    pieces = [f"p{i}Q" for i in range(200)]
+    assert marks("secret_key = " + " + ".join(f'"{p}"' for p in pieces)) == pieces
+    assert marks("a = " + " + ".join(f'"{p}"' for p in pieces) + "\nsecret_key = a") == pieces
+    names = "".join(f'c{i} = "v"\n' for i in range(12_000))
+    assert marks(f'top = "{key}"\n{names}secret_key = top') == [key]
+    # Constants of constants stand for more than memory holds; empty ones for nothing.
+    for first, want in ((key, [key]), ("", [])):
+        doubled = "".join(f"a{i + 1} = a{i} + a{i}\n" for i in range(3000))
+        assert marks(f'a0 = "{first}"\n{doubled}secret_key = a3000') == want
+    for text in (key * 70, "aB3 " * 300, "abcd" * 300, "http:" + key * 80, "7" * 1100 + "abcde"):
+        assert secrets._long_score(collections.Counter(text), len(text), text[:8]) == pytest.approx(secrets.literal_score(text))
+
+
 # -- tokens, shards, packing ------------------------------------------------------------------
 
 

@@ -6,6 +6,7 @@ import hashlib
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,12 +35,15 @@ _NAME_DENIALS = {"public", "name", "file", "path", "url", "length", "len", "coun
 # Literals that stand for "fill this in".
 _BLANKS = {"none", "null", "true", "false", "changeme", "example", "placeholder", "your_password", "undefined", "xxxxxxxx"}
 
+#: Starts of literals that are places or templates.
+_NO_KEYS = ("http:", "https:", "/", "./", "${", "<", "{{", "%(")
+
 #: A literal is a secret from this score.
 THRESHOLD = 4.0
 
 #: name, separator and the start of a value: `a.b = `, `"a": `, `export A=`, `a := `, `a => `.
 _TARGET = re.compile(
-    r"""(?<![\w.$-])["']?(?P<name>[A-Za-z_$][\w.$-]{0,127})["']?[ \t]{0,16}(?::=|=>|=(?![=>~])|:(?![:/]))[ \t]{0,16}(?=[\w"'`$+/({\[])""",
+    r"""(?<![\w.$-])["']?(?P<name>[A-Za-z_$][\w.$-]*+)["']?[ \t]*+(?::=|=>|=(?![=>~])|:(?![:/]))[ \t]*+(?=[\w"'`$+/({\[])""",
     re.ASCII,
 )
 #: One operand: a quoted literal, a name, or a bare value.
@@ -80,19 +84,31 @@ def entropy(text: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(text).values()) if n else 0.0
 
 
+def _kinds(text: str) -> int:
+    return sum(bool(re.search(k, text)) for k in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9]"))
+
+
 def literal_score(text: str) -> float:
     """How much a literal looks like key material: length, mixture and entropy; 0 for words, paths and blanks."""
     low = text.lower()
     if len(text) < 8 or low in _BLANKS or len(set(text)) < 5 or any(c.isspace() for c in text):
         return 0.0
-    if low.startswith(("http:", "https:", "/", "./", "${", "<", "{{", "%(")):
+    if low.startswith(_NO_KEYS):
         return 0.0
-    kinds = sum(bool(re.search(k, text)) for k in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9]"))
+    kinds = _kinds(text)
     if kinds == 1 and not text.isdigit() and len(text) < 20:
         return 0.5
     return min(2.0, len(text) / 16) + 0.5 * (kinds - 1) + max(0.0, min(1.0, entropy(text) - 2.5))
 
 
+def _long_score(letters: Counter, n: int, head: str) -> float:
+    """literal_score of a literal of 32 and more characters, from how often each occurs and the first ones."""
+    if len(letters) < 5 or any(c.isspace() for c in letters) or head.lower().startswith(_NO_KEYS):
+        return 0.0
+    bits = -sum(p * math.log2(p) for c in letters.values() if (p := c / n) > 0)
+    return 2.0 + 0.5 * (_kinds("".join(letters)) - 1) + max(0.0, min(1.0, bits - 2.5))
+
+
 def flow_spans(text: str) -> list[tuple[str, int, int]]:
     """Literals assigned to names that sound secret, directly or through constants.
 
@@ -105,28 +121,104 @@ def flow_spans(text: str) -> list[tuple[str, int, int]]:
     """
     if "=" not in text and ":" not in text:
         return []
-    known: dict[str, list[tuple[str, int, int]]] = {}
+    known: dict[str, _Parts] = {}
     found: set[tuple[str, int, int]] = set()
+    marked: set[int] = set()
     at = 0
     while m := _TARGET.search(text, at):
         at = m.end()
         name = m["name"]
         parts, at = _value(text, at, known)
-        if not parts:
+        if not parts.items:
             continue
+        only = parts.items[0]
+        parts = only if len(parts.items) == 1 and isinstance(only, _Parts) else parts
         known[name] = parts
-        if len(known) > 10_000:  # constants of one text; the oldest is forgotten
-            known.pop(next(iter(known)))
         weight = name_score(name)
-        if weight >= 2 and weight + literal_score("".join(p[0] for p in parts)) >= THRESHOLD:
-            found.update(("flow", s, e) for _, s, e in parts if e > s)
+        if weight >= 2 and weight + _score(text, parts) >= THRESHOLD:
+            _mark(parts, found)
     return sorted(found, key=lambda s: s[1:])
 
 
-def _value(text: str, at: int, known: dict) -> tuple[list[tuple[str, int, int]], int]:
-    """The literals of the value that starts at ``at``, and where the value ends. At most 64 operands."""
-    parts: list[tuple[str, int, int]] = []
-    for _ in range(64):
+class _Parts:
+    """A value: spans of literals and references to constants, in order, with the joined literal's length and first letters."""
+
+    __slots__ = ("items", "size", "head", "letters", "score", "marked")
+
+    def __init__(self) -> None:
+        self.items: list[tuple[int, int] | _Parts] = []
+        self.size, self.head, self.letters, self.score, self.marked = 0, "", None, None, False
+
+    def add(self, text: str, item: tuple[int, int] | _Parts) -> None:
+        if isinstance(item, _Parts):
+            size, head = item.size, item.head
+            if not size:  # an empty constant
+                item = (0, 0)
+        else:
+            size, head = item[1] - item[0], text[item[0] : min(item[1], item[0] + 8)]
+        if size or not self.items:
+            self.items.append(item)
+            self.size += size
+            self.head = (self.head + head)[:8]
+
+
+def _joined(text: str, parts: _Parts) -> str:
+    out, stack = [], [iter(parts.items)]
+    while stack:
+        item = next(stack[-1], None)
+        if item is None:
+            stack.pop()
+        elif isinstance(item, _Parts):
+            stack.append(iter(item.items))
+        else:
+            out.append(text[item[0] : item[1]])
+    return "".join(out)
+
+
+def _letters(text: str, parts: _Parts) -> Counter:
+    """How often each character occurs in the joined literal; counted once per constant."""
+    stack = [parts]
+    while stack:
+        now = stack[-1]
+        open_ = [x for x in now.items if isinstance(x, _Parts) and x.letters is None] if now.letters is None else []
+        if open_:
+            stack += open_
+            continue
+        stack.pop()
+        if now.letters is None:
+            now.letters = Counter()
+            for x in now.items:
+                now.letters.update(x.letters if isinstance(x, _Parts) else text[x[0] : x[1]])
+    return parts.letters
+
+
+def _score(text: str, parts: _Parts) -> float:
+    """literal_score of the joined literal. Constants of constants may stand for one far longer than the text, so long ones are not spelled out."""
+    if parts.score is None:
+        long = parts.size > 1_024
+        parts.score = _long_score(_letters(text, parts), parts.size, parts.head) if long else literal_score(_joined(text, parts))
+    return parts.score
+
+
+def _mark(parts: _Parts, found: set[tuple[str, int, int]]) -> None:
+    """Adds the spans of all literals behind a value; each constant is walked once."""
+    stack = [parts]
+    while stack:
+        now = stack.pop()
+        if now.marked:
+            continue
+        now.marked = True
+        for item in now.items:
+            if isinstance(item, _Parts):
+                stack.append(item)
+            elif item[1] > item[0]:
+                found.add(("flow", *item))
+
+
+def _value(text: str, at: int, known: dict[str, _Parts]) -> tuple[_Parts, int]:
+    """The value that starts at ``at``, with all its operands, and where it ends."""
+    parts = _Parts()
+    while True:
         call = _CALL.match(text, at)
         if call:  # a wrapped literal, as in decode("...")
             at = call.end()
@@ -134,16 +226,15 @@ def _value(text: str, at: int, known: dict) -> tuple[list[tuple[str, int, int]],
         if not m:
             break
         if m["quote"]:
-            parts.append((m["text"], m.start("text"), m.end("text")))
+            parts.add(text, m.span("text"))
         else:
             name = m["ref"] or m["bare"]
             if name in known:
-                parts += known[name][:64]
+                parts.add(text, known[name])
             elif m["bare"] and any(c.isdigit() for c in name):
-                bare = name.rstrip(".")
-                parts.append((bare, m.start(), m.start() + len(bare)))
+                parts.add(text, (m.start(), m.start() + len(name.rstrip("."))))
             elif not m["ref"]:
-                return (parts, at) if parts else ([], at)
+                return parts, at
         at = m.end()
         if at < len(text) and text[at] == ")":
             at += 1
@@ -151,7 +242,7 @@ def _value(text: str, at: int, known: dict) -> tuple[list[tuple[str, int, int]],
         if not joint:
             break
         at = joint.end()
-    return parts[:64], at
+    return parts, at
 
 
 def _join(spans: list[tuple[str, int, int]]) -> str:
