@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickevidence.llm import encoding, hostrules, jaccard, mixing, packing, quality, secrets, sharding, shards, topk, toxicity
-from tickevidence.llm.common import held_out, labelled_texts
+from tickevidence.llm.common import held_out, labelled_sample, labelled_texts
 from tickevidence.llm.queries import CATEGORIES, DOMAINS, ORACLES, QUERIES, domain_of_labels, tokenizer
 
 SF = "/root/testdata/sf0.001"
@@ -382,6 +382,27 @@ def test_learned_operators_on_held_out_rows(spark, odd, none):
         assert mixing.fit_domains(docs, few, domain_of_labels(), names).weights is None
 
 
+@needs_tables
+def test_toxic_rows_are_found(spark):
+    data = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{data}/labels.parquet").filter(held_out())
+    found = QUERIES["op6_toxicity_chain"](spark, data).select("doc_id", F.col("toxic").alias("got")).join(labels, "doc_id").collect()
+    recall = np.mean([r["got"] for r in found if r["toxic"] == 1])
+    alarms = np.mean([r["got"] for r in found if r["toxic"] == 0])
+    print("recall", recall, "false alarms", alarms)
+    assert recall > 0.9 and alarms < 0.1
+
+
+def test_cut_and_classes_of_the_chain(spark):
+    p, y = np.arange(100) / 100, (np.arange(100) >= 90).astype(int)
+    assert toxicity.choose_cut(p, y, np.ones(100)) == 0.9
+    y[50] = y[10] = 1  # one is out of reach of the alarms
+    assert (p[y == 0] >= toxicity.choose_cut(p, y, np.ones(100))).mean() <= 0.05
+    docs = spark.range(70).select(F.col("id").alias("doc_id"), F.concat(F.lit("t "), F.col("id").cast("string")).alias("text"))
+    labels = docs.select("doc_id", F.col("doc_id").alias("code"))
+    assert len([x for part in (0, 1) for x in labelled_sample(docs, labels, "code", 1, 100, part)]) == 70
+
+
 def test_box_keeps_rates_within_bounds(spark):
     rows = [(i, 10, [0.9, 0.1]) for i in range(50)] + [(50 + i, 10, [0.1, 0.9]) for i in range(50)]
     soft = spark.createDataFrame(rows, "doc_id long, tokens long, posterior array<double>")

@@ -58,7 +58,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, m
     ids = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", label).distinct()
     half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == part
     order = F.xxhash64("doc_id", F.lit("sample"))
-    found = [r[0] for r in ids.select(label).distinct().limit(64).collect()]
+    found = [r[0] for r in ids.select(label).distinct().collect()]
     out = []
     for value in sorted(found):
         chosen = ids.filter((F.col(label) == value) & half).orderBy(order, "doc_id").limit(rows)

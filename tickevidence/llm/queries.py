@@ -103,7 +103,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     chain = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out()), CATEGORIES)
     scores = toxicity.score(docs, chain, list(CATEGORIES))
-    return scores.withColumn("toxic", (F.col("p_toxic") >= 0.5).cast("int"))
+    cut = chain.cuts[list(CATEGORIES).index("toxic")] if chain else 0.5
+    return scores.withColumn("toxic", (F.col("p_toxic") >= cut).cast("int"))
 
 
 @_query("op7_compression_quality")

@@ -14,6 +14,8 @@ from tickevidence.llm.textmodel import Scorer, Vocabulary, choose_features, fit_
 
 #: Bounds of the fit: labelled texts per combination of categories, their length, and folds.
 TEXTS, MAX_CHARS, FOLDS = 1_200, 32_768, 3
+#: A category's cut is the highest that finds this share of its rows, unless more than that share of all others is then flagged.
+RECALL, ALARMS = 0.95, 0.05
 
 
 @dataclass(frozen=True)
@@ -23,6 +25,7 @@ class Chain:
     categories: tuple[str, ...]
     vocabulary: Vocabulary
     weights: tuple[np.ndarray, ...]
+    cuts: tuple[float, ...]
 
 
 def _log_odds(p: np.ndarray) -> np.ndarray:
@@ -39,13 +42,46 @@ def _probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return softmax(np.stack([np.zeros(len(x)), x @ w[:-1] + w[-1]], axis=1))[:, 1]
 
 
+def _out_of_fold(sets: list, codes: np.ndarray, weight: np.ndarray, fold: np.ndarray, categories: int) -> list[np.ndarray]:
+    """Each category's probabilities from models, vocabulary included, that have not seen the row."""
+    out: list[np.ndarray] = [np.zeros(len(codes)) for _ in range(categories)]
+    inputs = []
+    for f in range(FOLDS):
+        train = fold != f
+        if len(set(codes[train].tolist())) < 2:
+            return out
+        vocabulary = choose_features([s for s, t in zip(sets, train, strict=True) if t], codes[train].tolist())
+        inputs.append(vocabulary.matrix(sets))
+    for k in range(categories):
+        y = (codes >> k) & 1
+        for f, x in enumerate(inputs):
+            train = fold != f
+            x = np.hstack([x, *(_log_odds(p)[:, None] for p in out[:k])])
+            out[k][~train] = _probability(x[~train], _fit_one(x[train], y[train], weight[train]))
+    return out
+
+
+def choose_cut(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """The highest cut with the wanted recall, raised to the lowest one that keeps the false alarms; rows count by weight.
+
+    If even the highest probability is too many alarms, that is the cut.
+    """
+    steps = np.unique(p)[::-1]
+    alarms = np.array([weight[(y == 0) & (p >= c)].sum() for c in steps]) / weight[y == 0].sum()
+    recall = np.array([weight[(y == 1) & (p >= c)].sum() for c in steps]) / weight[y == 1].sum()
+    enough = int(np.searchsorted(recall, RECALL - 1e-9))
+    allowed = int(np.searchsorted(alarms, ALARMS + 1e-9)) - 1
+    return float(steps[max(0, min(enough, allowed, len(steps) - 1))])
+
+
 def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str]) -> Chain | None:
     """The chain from labelled rows; ``categories`` maps a name to a SQL condition on the labels, in chain order.
 
     A later model learns from out-of-fold probabilities of the earlier ones, which is
     what it meets on new texts. The sample is bounded per combination of
     categories (see the constants) and weighted back to the combinations' counts over
-    all labels. None when a category has only one value.
+    all labels. Each category's cut is chosen on out-of-fold probabilities of the same rows (RECALL, ALARMS).
+    None when a category has only one value.
     """
     names = list(categories)
     code = sum((F.coalesce(F.expr(c), F.lit(False)).cast("int") * 2**k for k, c in enumerate(categories.values())), F.lit(0))
@@ -71,7 +107,9 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str]) -> Chain
                 train = fold != f
                 held[~train] = _probability(x[~train], _fit_one(x[train], y[train], weight[train]))
             x = np.hstack([x, _log_odds(held)[:, None]])
-    return Chain(tuple(names), vocabulary, tuple(weights))
+    honest = _out_of_fold(sets, codes, weight, fold, len(names))
+    cuts = tuple(choose_cut(p, y, weight) for p, y in zip(honest, targets, strict=True))
+    return Chain(tuple(names), vocabulary, tuple(weights), cuts)
 
 
 def score(docs: DataFrame, chain: Chain | None, categories: list[str]) -> DataFrame:
