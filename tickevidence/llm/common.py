@@ -98,6 +98,25 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, rows: int, ma
     return [(r["text"], r[1]) for r in found for _ in range(r["times"])], counts
 
 
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """The rows with ``position``, their number from 0 within their group, and ``total``, the group's rows, by a range sort.
+
+    Groups and order together are range-sorted, so a group with a third of all rows
+    spreads over many tasks; ``order`` should tell all rows of a group apart. The sorted
+    table is staged, which fixes its order; one row per (group, task) then says how many
+    rows come before. Group columns must not be NULL.
+    """
+    place = F.monotonically_increasing_id()  # the task's number and the row's number in it
+    held = df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order).withColumn("place", place)
+    held = stage_table(held, name).withColumn("task", F.shiftright("place", 33))
+    runs = held.groupBy(*group, "task").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("rows"))
+    earlier = Window.partitionBy(*group).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("total", F.sum("rows").over(Window.partitionBy(*group)))
+    runs = runs.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0))).drop("rows")
+    position = F.col("place") - F.col("first") + F.col("before")
+    return held.join(runs, [*group, "task"]).withColumn("position", position).drop("place", "first", "before", "task")
+
+
 def fit_logistic(
     x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1e-3, steps: int = 40
 ) -> tuple[np.ndarray, float]:

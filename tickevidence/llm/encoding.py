@@ -109,9 +109,23 @@ class Encoder:
                 continue
             first, *rest = text.split(" ")
             out.append(self._whole(first) + b"".join(map(self.words.__getitem__, rest)))
+        self._forget()
+        return out
+
+    def encode_led(self, texts: list[str]) -> list[bytes]:
+        """Ids of a blank followed by each text."""
+        out = []
+        for text in texts:
+            if not self.by_word or not text or text[0].isspace() or _uneven(text):
+                out.append(self._whole(" " + text))
+            else:
+                out.append(b"".join(map(self.words.__getitem__, text.split(" "))))
+        self._forget()
+        return out
+
+    def _forget(self) -> None:
         if len(self.words) > MEMORY:
             self.words = _Words(self._word)
-        return out
 
 
 _LOADED: dict[str, Encoder] = {}

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickevidence.llm import hostrules, jaccard, mixing, packing, quality, secrets, sharding, shards, topk, toxicity
+from tickevidence.llm import alignment, hostrules, jaccard, merkle, mixing, packing, quality, secrets, sharding, shards, topk, toxicity
 from tickevidence.llm.common import held_out, table
 from tickevidence.session import stage_table
 
@@ -26,11 +27,11 @@ def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def tokenizer() -> str:
+def tokenizer(name: str = "byte_bpe_50k.json") -> str:
     """The vocabulary of the queries; operators take any path."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 #: Domains of the mixing query and stage, as conditions on the labels, with their share of the tokens.
@@ -164,3 +165,59 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = stage_table(packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer(), end_id=0), "pieces")
     return packing.piece_digests(pieces)
+
+
+MERKLE_SQL = """
+WITH RECURSIVE t AS (SELECT doc_id, lang, source, n_chars, text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS small,
+    CASE WHEN lang IS NULL THEN '-' ELSE '=' || lang END AS grp,
+    list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)) AS codes FROM documents),
+f AS (SELECT doc_id, grp, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+             || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+             coalesce(strlen(text) || ':' || text, '-') AS body, coalesce(strlen(small) || ':' || small, '-') AS changed,
+             xor(list_reduce(list_prepend(4294967295, codes), lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+                 lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295) % 3 = 0 AS hit FROM t),
+l AS (SELECT doc_id, grp, sha256(head || body) AS leaf, CASE WHEN hit THEN sha256(head || changed) END AS tampered FROM f),
+o AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id, leaf) - 1 AS pos, row_number() OVER () AS k FROM l),
+g AS (SELECT 0 AS level, grp, pos, leaf AS h, count(*) OVER (PARTITION BY grp) AS n FROM o
+      UNION ALL SELECT level + 1, grp, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 7) // 8 FROM g WHERE n > 1 GROUP BY level, grp, pos // 8),
+s AS (SELECT grp, h AS subroot, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n, level AS height FROM g WHERE n = 1),
+r AS (SELECT 0 AS level, pos, subroot AS h, n FROM s
+      UNION ALL SELECT level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 7) // 8 FROM r WHERE n > 1 GROUP BY level, pos // 8),
+a AS (SELECT grp, level, pos, h, n FROM g WHERE n > 1
+      UNION ALL SELECT grp, s.height + r.level, r.pos, r.h, r.n FROM r, s WHERE r.n > 1),
+w AS (SELECT o.k, o.doc_id, o.leaf, o.tampered, o.pos, o.grp, s.subroot, s.pos AS lang_pos, s.height FROM o JOIN s USING (grp)),
+p AS (SELECT w.k, a.level, string_agg(a.h, '' ORDER BY a.pos) FILTER (a.pos < x) AS lft, string_agg(a.h, '' ORDER BY a.pos) FILTER (a.pos > x) AS rgt
+      FROM (SELECT w.*, lv.level, CASE WHEN lv.level < height THEN pos // CAST(8 ** lv.level AS BIGINT) ELSE lang_pos // CAST(8 ** (lv.level - height) AS BIGINT) END AS x
+            FROM w JOIN (SELECT DISTINCT grp, level FROM a) lv ON lv.grp = w.grp) w
+      JOIN a ON a.grp = w.grp AND a.level = w.level AND a.pos // 8 = x // 8 GROUP BY w.k, a.level),
+z AS (SELECT k, list(coalesce(lft, '') ORDER BY level) AS ls, list(coalesce(rgt, '') ORDER BY level) AS rs FROM p GROUP BY k),
+e AS (SELECT w.doc_id, leaf, subroot, coalesce(tampered, leaf) AS start, coalesce(ls, []) AS ls, coalesce(rs, []) AS rs FROM w LEFT JOIN z USING (k)),
+v AS (SELECT doc_id, leaf, subroot, (SELECT h FROM r WHERE n = 1) AS root,
+             sha256(list_aggregate(list_prepend('', list_transform(range(1, len(ls) + 1), lambda i: ls[i] || rs[i])), 'string_agg', '')) AS proof_sha256,
+             list_reduce(list_prepend(start, list_transform(range(1, len(ls) + 1), lambda i: CAST(i AS VARCHAR))),
+                         lambda y, i: sha256(ls[CAST(i AS BIGINT)] || y || rs[CAST(i AS BIGINT)])) AS folded_root FROM e)
+SELECT *, folded_root = root AS verified FROM v
+"""
+
+#: Columns of a leaf, in their order.
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@_query("op11_merkle_manifest", MERKLE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*LEAF)
+    # Tampering, where 3 divides the crc32 of the id: the letters A-Z of the text in lower case.
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = merkle.row_digest([lower if c == "text" else F.col(c) for c in LEAF])
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    extra = {"doc_id": F.col("doc_id").cast("long"), "tampered": F.when(hit, tampered)}
+    found = merkle.all_proofs(merkle.manifest(docs, "lang", ["doc_id"], LEAF, extra), list(extra))
+    folded = merkle.folded(F.coalesce("tampered", "digest"))
+    rows = found.select("doc_id", F.col("digest").alias("leaf"), "subroot", "root", merkle.path_digest().alias("proof_sha256"), folded.alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@_query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.score_links(alignment.align_documents(docs, tokenizer(), tokenizer("piece_bpe_32k.model")))
