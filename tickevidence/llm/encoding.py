@@ -128,7 +128,7 @@ class Encoder:
             self.words = _Words(self._word)
 
 
-_LOADED: dict[str, Encoder] = {}
+_LOADED: dict = {}
 
 
 def encoder(path: str) -> Encoder:
@@ -138,6 +138,75 @@ def encoder(path: str) -> Encoder:
     return _LOADED[path]
 
 
+#: Fixed value: the words and signs of the vocabulary with word ends; none holds white space.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Signs that never begin a contraction.
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+class WordEndEncoder:
+    """Ids under a lower-case vocabulary with word ends that drops white space.
+
+    No token reaches over white space, so a text is cut at blanks and line feeds, and
+    each distinct word is encoded once. Vocabularies of other kinds encode each text as a
+    whole. Strings of special tokens in a text are special tokens, as the library has it.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.full = Tokenizer.from_file(path)
+        size = self.full.get_vocab_size(with_added_tokens=True)
+        self.code = "H" if size <= 65_536 else "I"
+        self.dtype = np.dtype("<u2" if size <= 65_536 else "<u4")
+        settings = json.loads(self.full.to_str())
+        steps = [s.get("type") for s in (settings.get("normalizer") or {}).get("normalizers", [])]
+        split = ((settings.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        self.by_word = (
+            settings["model"]["type"] == "BPE"
+            and bool(settings["model"].get("end_of_word_suffix"))
+            and steps == ["NFC", "Replace", "Lowercase"]
+            and split.get("pattern") == {"Regex": WORD_PATTERN}
+            and (split.get("behavior"), split.get("invert")) == ("Removed", True)
+            and not any(c.isspace() for t in settings["added_tokens"] for c in t["content"])
+        )
+        self.tokens = self.full.model.tokenize
+        self.letters = _byte_letters()
+        self.words = _Words(self._word)
+
+    def _whole(self, text: str) -> bytes:
+        return array(self.code, self.full.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        if not word.isalpha():
+            head = word.rstrip(_SIGNS)
+            if head.isalpha():  # signs behind a word are one piece of their own
+                return self.words[head] + self.words[word[len(head) :]]
+            return self._whole(word) if word else b""
+        try:
+            low = word.lower() if word.isascii() else word.encode("latin-1").decode("latin-1").lower()
+        except UnicodeEncodeError:  # other letters may need the library's normalising
+            return self._whole(word)
+        spelled = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.tokens(spelled)]).tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return [self._whole(t) for t in texts]
+        out = [b"".join(map(self.words.__getitem__, t.replace("\n", " ").split(" "))) for t in texts]
+        if len(self.words) > MEMORY:
+            self.words = _Words(self._word)
+        return out
+
+
+def word_end_encoder(path: str) -> WordEndEncoder:
+    """One encoder per worker process and vocabulary."""
+    key = "word ends: " + path
+    if key not in _LOADED:
+        _LOADED[key] = WordEndEncoder(path)
+    return _LOADED[key]
+
+
 def groups(texts: Iterator, limit: int = 500, chars: int = 4_000_000) -> Iterator[list]:
     """Lists of (key, text) of at most ``limit`` items and about ``chars`` characters."""
     got, size = [], 0

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickevidence.llm import alignment, hostrules, jaccard, merkle, mixing, packing, quality, secrets, sharding, shards, topk, toxicity
+from tickevidence.llm import alignment, bestfit, hostrules, jaccard, merkle, mixing, packing, quality, secrets, sharding, shards, topk, toxicity
 from tickevidence.llm.common import held_out, table
 from tickevidence.session import stage_table
 
@@ -221,3 +221,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return alignment.score_links(alignment.align_documents(docs, tokenizer(), tokenizer("piece_bpe_32k.model")))
+
+
+@_query("op13_bulk_best_fit")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = bestfit.pack_whole(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1, window=4096)
+    return bestfit.piece_digests(packed)
