@@ -10,6 +10,7 @@ from tickevidence.plans import (  # noqa: F401
     queries_research,
     queries_samples,
     queries_time,
+    queries_verified,
 )
 from tickevidence.plans.registry import ORACLES, QUERIES
 

@@ -18,6 +18,7 @@ from tickevidence.operators import rules as R
 from tickevidence.operators import sampling as S
 from tickevidence.operators.quality import require_clean, research_gate
 from tickevidence.sources.tables import file_digests
+from tickevidence.sources.verified import bucket_digests, dataset_digest, part_digests
 
 
 def finished(spark: SparkSession, path: str) -> bool:
@@ -46,11 +47,16 @@ def run_research(
     *,
     gate_zone: str | None = None,
 ) -> tuple[A.Run, DataFrame, DataFrame]:
-    """Run every stage; returns the run, its checks and its one-row verdict."""
+    """Run every stage; returns the run, its checks and its one-row verdict.
+
+    Stages are keyed by the policies and by the content of the tape, so another tape
+    under the same ``dataset_id`` reuses nothing.
+    """
     spark = tape.sparkSession
     if gate_zone:
         require_clean(research_gate(tape, gate_zone))
-    context = R.rule_context(dataset_id, sampling, search)
+    content = dataset_digest(part_digests(bucket_digests(tape, "trading_date"))).first()["dataset_id"]
+    context = R.rule_context(dataset_id, sampling, search) + content
     samples = stage(spark, root, "samples", context, lambda: S.build_samples(tape, sampling, dataset_id))
     log = stage(spark, root, "search_log", context, lambda: R.search_log(samples, sampling, search, dataset_id))
     rules = stage(spark, root, "rules", context, lambda: R.top_rules(log, search.max_conditions))

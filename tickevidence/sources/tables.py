@@ -102,12 +102,16 @@ def artifact_problems(registered: DataFrame, actual: DataFrame) -> DataFrame:
     return joined.withColumn("problem", problem).filter(F.col("problem").isNotNull()).select("path", "problem")
 
 
-def dataset_id(artifacts: DataFrame, version: str = "2") -> DataFrame:
-    """Identity of a dataset: a hash over its sorted artifact hashes and sizes."""
+def artifact_identity(artifacts: DataFrame, version: str = "2") -> DataFrame:
+    """One row with the identity of a set of files: hashes and sizes folded per folder, folders to one digest."""
     item = F.concat_ws(":", "sha256", F.col("size_bytes").cast("string"))
-    return artifacts.agg(
-        F.sha2(F.concat_ws(";", F.lit(version), F.array_join(F.array_sort(F.collect_list(item)), ",")), 256).alias("dataset_id")
-    )
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+
+    def fold(col: Column) -> Column:
+        return F.sha2(F.array_join(F.sort_array(F.collect_list(col)), ","), 256)
+
+    folders = artifacts.groupBy(folder.alias("_folder")).agg(fold(item).alias("_digest"))
+    return folders.agg(F.sha2(F.concat_ws(";", F.lit(version), fold(F.col("_digest"))), 256).alias("dataset_id"))
 
 
 # Statuses of a usable revision.
