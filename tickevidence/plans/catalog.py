@@ -9,6 +9,7 @@ from tickevidence.plans import (  # noqa: F401
     queries_quality,
     queries_research,
     queries_samples,
+    queries_streams,
     queries_time,
     queries_verified,
 )

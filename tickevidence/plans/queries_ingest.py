@@ -16,6 +16,7 @@ from tickevidence.session import configure, scratch_path
 from tickevidence.sources import payloads as P
 from tickevidence.sources import tables as S
 from tickevidence.streaming import ingest as I
+from tickevidence.streaming.timers import link_to_parent
 
 # Payloads -------------------------------------------------------------------------
 
@@ -545,19 +546,6 @@ def stream_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.drain(out, "conflicts")
 
 
-@query(
-    "stream_gaps",
-    f"""WITH {EVENTS_SQL},
-s AS (SELECT DISTINCT event_type AS symbol, (t_us // 600000000) * 600000000 AS s FROM ev),
-g AS (SELECT *, lag(s) OVER (PARTITION BY symbol ORDER BY s) AS p FROM s)
-SELECT symbol, p AS after_us, s AS before_us, (s - p) // 600000000 - 1 AS missed, 'missed_slot' AS reason FROM g WHERE s - p > 600000000""",
-)
-def stream_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T5, Q18: missed slots emitted by keyed state."""
-    out = I.slot_gaps(_stream(spark, sf_dir), by="event_type", time="ts", seconds=600, watermark="60 days")
-    return I.drain(out, "gaps")
-
-
 @query(
     "stream_linked",
     f"""WITH {EVENTS_SQL}
@@ -572,10 +560,10 @@ def stream_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
     derived = _stream(spark, sf_dir).filter("event_type = 'click'").select(
         F.col("event_id").alias("derived_id"), F.col("user_id").alias("parent"), F.col("ts").alias("derived_at")
     )
-    out = I.link_derived(
+    out = link_to_parent(
         derived, raw, parent="parent", key="raw_key", derived_time="derived_at", raw_time="raw_at", within="1 HOUR", watermark="60 days"
     )
-    return I.drain(out.select("raw_id", "derived_id"), "linked")
+    return I.drain(out.select("raw_id", "derived_id", "reason"), "linked").filter("reason IS NULL").drop("reason")
 
 
 @query(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tickevidence.functions.clock import align, in_session, staleness_seconds, to_us, us
+from tickevidence.functions.clock import align, in_session, to_us, us
 from tickevidence.session import scratch_path
 from tickevidence.sources.tables import append_new
 
@@ -97,74 +97,6 @@ def conflicts(df: DataFrame, *, key: str, digest: str, time: str, watermark: str
     )
 
 
-def slot_gaps(df: DataFrame, *, by: str, time: str, seconds: float, watermark: str) -> DataFrame:
-    """Missed slots between consecutive slots of a symbol: (symbol, after, before, missed).
-
-    Rows are reduced to one per (symbol, slot) first, so a busy symbol's state
-    function sees at most one row per slot. The state is the newest slot, so slots
-    that come late report nothing and do not move it back.
-    """
-    step = to_us(seconds)
-
-    def watch(ids: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        slots = pd.concat([f["slot_us"] for f in frames]).sort_values().drop_duplicates()
-        before = slots.shift()
-        if last is not None:  # a late slot opens no gap behind the newest one
-            before = before.fillna(last).clip(lower=last)
-        missed = (slots - before) // step - 1
-        hole = missed > 0
-        if hole.any():
-            yield pd.DataFrame(
-                {
-                    "symbol": ids[0],
-                    "after_us": before[hole].astype("int64"),
-                    "before_us": slots[hole].astype("int64"),
-                    "missed": missed[hole].astype("int64"),
-                    "reason": "missed_slot",
-                }
-            )
-        if len(slots):
-            newest = int(slots.iloc[-1])
-            state.update((newest if last is None else max(newest, last),))
-
-    slots = (
-        df.withColumn("slot", align(time, seconds))
-        .withWatermark("slot", watermark)
-        .dropDuplicatesWithinWatermark([by, "slot"])
-        .select(F.col(by).cast("string").alias("symbol"), us("slot").alias("slot_us"))
-    )
-    return slots.groupBy("symbol").applyInPandasWithState(
-        watch,
-        "symbol string, after_us bigint, before_us bigint, missed bigint, reason string",
-        "last bigint",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
-
-
-def link_derived(
-    derived: DataFrame, raw: DataFrame, *, parent: str, key: str, derived_time: str, raw_time: str, within: str, watermark: str
-) -> DataFrame:
-    """Derived rows joined to their RAW parent received at most ``within`` earlier.
-
-    Inner: a derived row is accepted only when its parent exists.
-    """
-    left = derived.withWatermark(derived_time, watermark)
-    right = raw.withWatermark(raw_time, watermark)
-    cond = (F.col(parent) == F.col(key)) & F.col(derived_time).between(
-        F.col(raw_time), F.col(raw_time) + F.expr(f"INTERVAL {within}")
-    )
-    return left.join(right, cond)
-
-
-def newest_age(df: DataFrame, *, by: list[str], time: str, now: Column) -> DataFrame:
-    """Age of the newest row per key."""
-    return df.groupBy(*by).agg(F.max(time).alias("newest")).withColumn(
-        "age_seconds", staleness_seconds(F.col("newest"), now)
-    )
-
-
 def append_batches(path: str, conflicts_path: str, key: str, digest: str, partition_by: list[str]) -> Callable:
     """A ``foreachBatch`` function: idempotent append, so a replayed batch adds nothing."""
 
