@@ -6,6 +6,7 @@ from tickevidence.plans import (  # noqa: F401
     queries_features,
     queries_ingest,
     queries_joins,
+    queries_ledger,
     queries_quality,
     queries_research,
     queries_samples,

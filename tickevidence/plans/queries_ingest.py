@@ -15,6 +15,7 @@ from tickevidence.plans.tape import EVENTS_SQL, TAPE_SQL, events, option_tape, t
 from tickevidence.session import configure, scratch_path
 from tickevidence.sources import payloads as P
 from tickevidence.sources import tables as S
+from tickevidence.sources.ledger import ledger_batches, stored
 from tickevidence.streaming import ingest as I
 from tickevidence.streaming.timers import link_to_parent
 
@@ -572,10 +573,11 @@ def stream_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: the same files processed twice are stored once."""
-    path, bad = scratch_path(spark, "append"), scratch_path(spark, "append-conflicts")
-    for _ in range(2):
-        rows = _stream(spark, sf_dir).select(
-            "event_id", F.sha2("props", 256).alias("digest"), F.date_format("ts", "yyyy-MM-dd").alias("day")
-        )
-        I.drain(rows, "append-once", each_batch=I.append_batches(path, bad, "event_id", "digest", ["day"]))
-    return spark.read.schema("event_id bigint, digest string, day string").parquet(path).select("event_id", "day")
+    root = scratch_path(spark, "append")
+    key = F.concat_ws("/", F.date_format("ts", "yyyy-MM-dd"), F.col("event_id").cast("string"))
+    for name in ("first", "again"):
+        rows = _stream(spark, sf_dir).select("event_id", key.alias("key"), F.sha2("props", 256).alias("digest"))
+        place = F.substring("key", 1, 10)
+        I.drain(rows, "append-once", each_batch=ledger_batches(root, name, key="key", digest="digest", place=place))
+    rows = stored(spark, root, "event_id bigint, key string, digest string")
+    return rows.select("event_id", F.substring("key", 1, 10).alias("day"))

@@ -157,20 +157,6 @@ def split_replays(batch: DataFrame, stored: DataFrame, key: str, digest: str) ->
     return fresh.dropDuplicates([key]), conflicts
 
 
-def append_new(batch: DataFrame, path: str, conflicts_path: str, key: str, digest: str, partition_by: list[str]) -> None:
-    """Append unseen rows and record conflicts; nothing stored ever changes."""
-    spark = batch.sparkSession
-    try:
-        stored = spark.read.parquet(path)
-    except Exception as exc:  # the first batch finds no table
-        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-            raise
-        stored = batch.limit(0)
-    fresh, conflicts = split_replays(batch, stored, key, digest)
-    conflicts.write.mode("append").parquet(conflicts_path)
-    fresh.write.mode("append").partitionBy(*partition_by).parquet(path)
-
-
 def require_unique(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once (a bulk append must have none)."""
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

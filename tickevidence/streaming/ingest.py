@@ -16,7 +16,6 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tickevidence.functions.clock import align, in_session, to_us, us
 from tickevidence.session import scratch_path
-from tickevidence.sources.tables import append_new
 
 
 def read_landed(spark: SparkSession, path: str, schema, pattern: str = "*.parquet", max_files: int | None = None) -> DataFrame:
@@ -97,15 +96,6 @@ def conflicts(df: DataFrame, *, key: str, digest: str, time: str, watermark: str
     )
 
 
-def append_batches(path: str, conflicts_path: str, key: str, digest: str, partition_by: list[str]) -> Callable:
-    """A ``foreachBatch`` function: idempotent append, so a replayed batch adds nothing."""
-
-    def run(batch: DataFrame, _: int) -> None:
-        append_new(batch, path, conflicts_path, key, digest, partition_by)
-
-    return run
-
-
 def drain(stream: DataFrame, name: str, mode: str = "append", each_batch: Callable | None = None) -> DataFrame | None:
     """Process everything that has landed, then return the written result.
 
