@@ -9,6 +9,8 @@ remembered. Within a window, further shared ends cut groups.
 
 from __future__ import annotations
 
+import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickevidence.llm.common import text_or_empty
-from tickevidence.llm.encoding import _byte_letters, encoder, groups
+from tickevidence.llm.encoding import Encoder, PieceEncoder, _byte_letters, groups
 from tickevidence.session import stage_table
 
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, groups string, links binary"
@@ -29,14 +31,21 @@ BLOCKS = (
 SCORED = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 )
-#: Windows remembered per worker, about 400 bytes each; beyond that the memory starts anew.
-MEMORY = 500_000
+#: Windows, and words of each tokenizer, remembered per worker, about 500 and 200 bytes each; beyond that a new memory
+#: begins, and the last one is kept beside it.
+MEMORY = 120_000
 #: Links of one block of documents: the unit whose distinct pairs are counted and looked up together.
 BLOCK_LINKS = 1_000_000
 #: Bits of an id in a pair; a pair is the first id shifted by this many bits plus the second.
 BITS = 24
 
 
+def _slices(raw: bytes, cuts: list[int], width: int) -> list[bytes]:
+    """The ids between neighbouring cuts, which are numbers of ids."""
+    stops = [c * width for c in cuts]
+    return [raw[i:k] for i, k in zip([0, *stops], [*stops, len(raw)], strict=True)]
+
+
 class Aligner:
     """Groups and links of texts under two tokenizers.
 
@@ -45,76 +54,95 @@ class Aligner:
     """
 
     def __init__(self, first: str, second: str):
-        import sentencepiece
-
-        self.a = encoder(first)
+        self.a, self.b = Encoder(first), PieceEncoder(second, MEMORY)
+        self.a.memory = MEMORY
         vocabulary = self.a.full.get_vocab(with_added_tokens=True)
         bytes_of = {chr(letter): byte for byte, letter in _byte_letters().items()}
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             known = all(c in bytes_of for c in token)
             self.bytes_a[i] = bytes(bytes_of[c] for c in token) if known else token.encode()
-        self.b = sentencepiece.SentencePieceProcessor(model_file=second)
-        self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.bytes_b = [self._piece(i) for i in range(self.b.model.get_piece_size())]
         self.len_a = np.array([len(x) for x in self.bytes_a])
         self.len_b = np.array([len(x) for x in self.bytes_b])
         self.blank_a = np.array([x[:1] == b" " for x in self.bytes_a])
         self.blank_b = np.array([x[:1] == b" " for x in self.bytes_b])
-        self.windows: dict[tuple[bytes, bytes], tuple[str, int, bytes]] = {}
+        # The same per token, as lists for single windows.
+        self.sizes_a, self.sizes_b = self.len_a.tolist(), self.len_b.tolist()
+        self.names_a, self.names_b = [str(i) for i in range(len(self.bytes_a))], [str(i) for i in range(len(self.bytes_b))]
+        self.windows: dict[tuple[bytes, bytes], tuple[str, int, bytes, bytes | None]] = {}
+        self.older: dict[tuple[bytes, bytes], tuple[str, int, bytes, bytes | None]] = {}
 
     def _piece(self, i: int) -> bytes:
-        piece = self.b.id_to_piece(i)
-        return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
+        piece = self.b.model.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if self.b.model.is_byte(i) else piece.replace("\u2581", " ").encode()
 
     def align(self, texts: list[str]) -> list[tuple[int, int, int, str, bytes]]:
         """Per text the numbers of tokens of both and of groups, the groups as text, and the links as packed pairs."""
         ids_a = [np.frombuffer(x, self.a.dtype) for x in self.a.encode_led(texts)]
-        ids_b = [np.array(x, "<u4") for x in self.b.encode(texts, out_type=int, num_threads=1)]
+        ids_b = [np.frombuffer(x, self.b.dtype) for x in self.b.encode(texts)]
         out = [self._document(t, a, b) for t, a, b in zip(texts, ids_a, ids_b, strict=True)]
         if len(self.windows) > MEMORY:
-            self.windows = {}
+            self.windows, self.older = {}, self.windows
         return out
 
     def _document(self, text: str, a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, str, bytes]:
-        want = b" " + text.encode()
-        same = text and b"".join(map(self.bytes_a.__getitem__, a.tolist())) == want
-        if not same or b"".join(map(self.bytes_b.__getitem__, b.tolist())) != want:
-            return 0, 0, 0, "", b""
-        # Starts of tokens that begin with a blank: shared ones are verified ends of what is before them.
+        none = (0, 0, 0, "", b"")
+        if not text:
+            return none
+        # Starts of tokens that begin with a blank: where both tokenizers have one at the same byte, a window begins.
         at_a = np.flatnonzero(self.blank_a[a[1:]]) + 1
         at_b = np.flatnonzero(self.blank_b[b[1:]]) + 1
-        ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        _, of_a, of_b = np.intersect1d(ends_a[at_a - 1], ends_b[at_b - 1], assume_unique=True, return_indices=True)
-        cut_a, cut_b = [*at_a[of_a].tolist(), len(a)], [*at_b[of_b].tolist(), len(b)]
+        ends_a, ends_b = np.cumsum(self.len_a[a])[at_a - 1], np.cumsum(self.len_b[b])[at_b - 1]
+        if len(ends_a) == len(ends_b) and (ends_a == ends_b).all():
+            cut_a, cut_b = at_a.tolist(), at_b.tolist()
+        else:
+            place = np.searchsorted(ends_b, ends_a)
+            shared = ends_b[np.minimum(place, len(ends_b) - 1)] == ends_a if len(ends_b) else np.zeros(len(ends_a), bool)
+            cut_a, cut_b = at_a[shared].tolist(), at_b[place[shared]].tolist()
         raw_a, raw_b = a.tobytes(), b.tobytes()
-        wide_a, wide_b = a.itemsize, b.itemsize
-        found, i, j = [], 0, 0
-        for k, m in zip(cut_a, cut_b, strict=True):
-            key = raw_a[i * wide_a : k * wide_a], raw_b[j * wide_b : m * wide_b]
-            known = self.windows.get(key)
-            if known is None:
-                known = self.windows[key] = self._window(a[i:k].tolist(), b[j:m].tolist())
-            found.append(known)
-            i, j = k, m
-        return len(a), len(b), sum(w[1] for w in found), ";".join(w[0] for w in found), b"".join(w[2] for w in found)
-
-    def _window(self, a: list[int], b: list[int]) -> tuple[str, int, bytes]:
-        """Groups of one window as text, their number, and a link for each shared end."""
+        keys = list(zip(_slices(raw_a, cut_a, a.itemsize), _slices(raw_b, cut_b, b.itemsize), strict=True))
+        found = list(map(self.windows.get, keys))
+        if None in found:
+            for n, key in enumerate(keys):
+                if found[n] is None:
+                    found[n] = self._remember(key)
+        spelled = [w[3] for w in found]
+        # Both tokenizers must spell the text: each window alike, and all of them together.
+        if None in spelled or b"".join(spelled) != b" " + text.encode():
+            return none
+        return len(a), len(b), sum([w[1] for w in found]), ";".join([w[0] for w in found]), b"".join([w[2] for w in found])
+
+    def _remember(self, key: tuple[bytes, bytes]) -> tuple[str, int, bytes, bytes | None]:
+        """The alignment of a window that the memory in use does not hold."""
+        known = self.windows.get(key) or self.older.get(key)
+        if known is None:
+            known = self._window(array(self.a.code, key[0]), array(self.b.code, key[1]))
+        self.windows[key] = known
+        return known
+
+    def _window(self, a: array, b: array) -> tuple[str, int, bytes, bytes | None]:
+        """Groups of one window as text, their number, a link for each shared end, and the bytes that both spell (else None)."""
+        spelled = b"".join(map(self.bytes_a.__getitem__, a))
+        if b"".join(map(self.bytes_b.__getitem__, b)) != spelled:
+            return "", 0, b"", None
+        size_a, size_b, name_a, name_b = self.sizes_a, self.sizes_b, self.names_a, self.names_b
         out, links = [], []
-        i = j = k = m = 0  # tokens read, and the first ones of the open group
+        more = iter(b)
         end_a = end_b = 0
-        while i < len(a) or j < len(b):
-            if end_a <= end_b:
-                end_a += len(self.bytes_a[a[i]])
-                i += 1
-            else:
-                end_b += len(self.bytes_b[b[j]])
-                j += 1
+        first = second = ""
+        for x in a:
+            end_a += size_a[x]
+            first = f"{first},{name_a[x]}" if first else name_a[x]
+            while end_b < end_a:
+                y = next(more)
+                end_b += size_b[y]
+                second = f"{second},{name_b[y]}" if second else name_b[y]
             if end_a == end_b:
-                out.append(",".join(map(str, a[k:i])) + "|" + ",".join(map(str, b[m:j])))
-                links.append(a[i - 1] << BITS | b[j - 1])
-                k, m = i, j
-        return ";".join(out), len(out), np.array(links, "<i8").tobytes()
+                out.append(f"{first}|{second}")
+                links.append(x << BITS | y)
+                first = second = ""
+        return ";".join(out), len(out), array("q", links).tobytes(), spelled
 
 
 _LOADED: dict[tuple[str, str], Aligner] = {}
@@ -127,6 +155,14 @@ def aligner(first: str, second: str) -> Aligner:
     return _LOADED[first, second]
 
 
+def _aligned(batches: Iterator[pa.RecordBatch], first: str, second: str) -> Iterator[tuple[list, list]]:
+    """Ids of some documents and what the aligner says of each."""
+    work = aligner(first, second)
+    texts = ((d, t) for b in batches for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+    for group in groups(texts, 250, 1_000_000):
+        yield [d for d, _ in group], work.align([t for _, t in group])
+
+
 def align_documents(docs: DataFrame, first: str, second: str) -> DataFrame:
     """Each document's groups, ``a1,a2|b1;a3|b2,b3``, and links: pairs of ids (8 bytes each) that end together.
 
@@ -135,56 +171,53 @@ def align_documents(docs: DataFrame, first: str, second: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = aligner(first, second)
-        texts = (
-            (d, t) for b in batches for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
-        )
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
         names = ["doc_id", "n_a", "n_b", "n_groups", "groups", "links"]
-        for group in groups(texts, 250, 1_000_000):
-            found = work.align([t for _, t in group])
-            columns = [[d for d, _ in group], *map(list, zip(*found))]
+        for ids, found in _aligned(batches, first, second):
+            columns = [ids, *map(list, zip(*found))]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, ALIGNED)
 
 
-def _blocks(aligned: DataFrame) -> DataFrame:
-    """Neighbouring documents as one row: their links as numbers into the block's own list of distinct pairs."""
+def align_in_blocks(docs: DataFrame, first: str, second: str) -> DataFrame:
+    """The same, neighbouring documents as one row, with the digests of their groups.
+
+    Links are numbers into the block's own list of distinct pairs, which has counts. Groups
+    are hashed where they are made, so their text, longer than the documents, never leaves the task.
+    """
+    names = [part.strip().split(" ")[0] for part in BLOCKS.split(",")]
 
     def close(rows: list[tuple], block: int) -> pa.RecordBatch:
         doc_id, n_a, n_b, n_groups, sha, links = zip(*rows)
-        flat = np.frombuffer(b"".join(links), "<i8")
-        pairs, which, counts = np.unique(flat, return_inverse=True, return_counts=True)
-        sizes = [len(x) // 8 for x in links]
+        pairs, which, counts = np.unique(np.frombuffer(b"".join(links), "<i8"), return_inverse=True, return_counts=True)
         values = [
             ([block], pa.int64()),
             *[([list(c)], pa.list_(pa.int64())) for c in (doc_id, n_a, n_b, n_groups)],
             ([list(sha)], pa.list_(pa.string())),
-            ([sizes], pa.list_(pa.int32())),
+            ([[len(x) // 8 for x in links]], pa.list_(pa.int32())),
             ([which.astype("<u4").tobytes()], pa.binary()),
             ([pairs], pa.list_(pa.int64())),
             ([counts], pa.list_(pa.int64())),
         ]
-        names = [part.strip().split(" ")[0] for part in BLOCKS.split(",")]
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in values], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         block = (task.partitionId() if task else 0) << 32
         rows, held = [], 0
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows.append(row)
-                held += len(row[5]) // 8
-                if held >= BLOCK_LINKS or len(rows) >= BLOCK_LINKS:
-                    yield close(rows, block)
-                    rows, held, block = [], 0, block + 1
+        for ids, found in _aligned(batches, first, second):
+            for doc_id, (n_a, n_b, n_groups, text, links) in zip(ids, found, strict=True):
+                sha = hashlib.sha256(text.encode()).hexdigest() if n_a else ""
+                rows.append((doc_id, n_a, n_b, n_groups, sha, links))
+                held += len(links) // 8
+            if held >= BLOCK_LINKS or len(rows) >= BLOCK_LINKS:
+                yield close(rows, block)
+                rows, held, block = [], 0, block + 1
         if rows:
             yield close(rows, block)
 
-    sha = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
-    return aligned.select("doc_id", "n_a", "n_b", "n_groups", sha.alias("groups_sha256"), "links").mapInArrow(run, BLOCKS)
+    return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, BLOCKS)
 
 
 def pair_counts(blocks: DataFrame) -> DataFrame:
@@ -198,13 +231,13 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
     return counted.withColumn("best", F.col("count") == F.max("count").over(Window.partitionBy(second)))
 
 
-def score_links(aligned: DataFrame) -> DataFrame:
-    """Per document: its links whose count is the highest of their second id, and the sum of its links' counts.
+def score_links(blocks: DataFrame) -> DataFrame:
+    """Per document of :func:`align_in_blocks`: its links whose count is the highest of their second id, and the sum of its links' counts.
 
-    Documents are staged in blocks with the distinct pairs of each. Only these, not all
-    links, go to the corpus-wide counts and back, so a frequent pair is one row per block.
+    Only the distinct pairs of each block, not all links, go to the corpus-wide counts
+    and back, so a frequent pair is one row per block.
     """
-    blocks = stage_table(_blocks(aligned), "aligned")
+    blocks = stage_table(blocks, "aligned")
     pairs = pair_counts(blocks)
     places = blocks.select("block", F.posexplode("pairs").alias("place", "pair")).join(pairs, "pair")
     known = places.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("place", "count", "best"))).alias("known"))

@@ -17,8 +17,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 _UNEVEN = re.compile(r"\s | \s|^ | $")
 #: White space besides the blank and the line feed.
 _RARE = [chr(c) for c in range(128, 0x3001) if chr(c).isspace()] + [*"\t\r\x0b\x0c\x1c\x1d\x1e\x1f"]
-#: Words remembered per worker, about 200 bytes each; beyond that the memory starts anew.
-MEMORY = 800_000
+#: Words remembered per worker, about 200 bytes each; beyond that a new memory begins, and the last one is kept beside it.
+MEMORY = 400_000
 
 
 def _byte_letters() -> dict[int, int]:
@@ -36,16 +36,25 @@ def _uneven(text: str) -> bool:
 
 
 class _Words(dict):
-    """Ids of blank-led words, made when first asked for."""
+    """Ids of blank-led words, made when first asked for, or taken over from an ``older`` memory."""
 
-    def __init__(self, make: Callable[[str], bytes]):
+    def __init__(self, make: Callable[[str], bytes], older: dict | None = None):
         super().__init__()
         self.make = make
+        self.older = older or {}
 
     def __missing__(self, word: str) -> bytes:
-        made = self[word] = self.make(word)
+        made = self.older.get(word)
+        if made is None:
+            made = self.make(word)
+        self[word] = made
         return made
 
+    def renewed(self) -> _Words:
+        """An empty memory that still knows what this one holds."""
+        self.older = {}
+        return _Words(self.make, self)
+
 
 class Encoder:
     """Ids of texts as little-endian bytes, two per id for vocabularies up to 65,536 and four beyond.
@@ -78,6 +87,7 @@ class Encoder:
         self.line = self._whole("\n")
         self.marks = {m: self._whole(m) for m in ",.;:!?"}
         self.words = _Words(self._word)
+        self.memory = MEMORY
 
     def _whole(self, text: str) -> bytes:
         return array(self.code, self.full.encode(text, add_special_tokens=False).ids).tobytes()
@@ -124,8 +134,8 @@ class Encoder:
         return out
 
     def _forget(self) -> None:
-        if len(self.words) > MEMORY:
-            self.words = _Words(self._word)
+        if len(self.words) > self.memory:
+            self.words = self.words.renewed()
 
 
 _LOADED: dict = {}
@@ -195,10 +205,44 @@ class WordEndEncoder:
             return [self._whole(t) for t in texts]
         out = [b"".join(map(self.words.__getitem__, t.replace("\n", " ").split(" "))) for t in texts]
         if len(self.words) > MEMORY:
-            self.words = _Words(self._word)
+            self.words = self.words.renewed()
         return out
 
 
+class PieceEncoder:
+    """Ids under a sentencepiece model, which puts a blank before each text.
+
+    Where no piece holds a blank behind another character, texts are cut at single
+    blanks and each distinct word is encoded once.
+    """
+
+    def __init__(self, path: str, memory: int = MEMORY):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.code = "H" if len(pieces) <= 65_536 else "I"
+        self.dtype = np.dtype("<u2" if len(pieces) <= 65_536 else "<u4")
+        self.by_word = not any("\u2581" in p.lstrip("\u2581") for p in pieces)
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.memory = memory
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [array(self.code, ids).tobytes() for ids in self.model.encode(texts, num_threads=1)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [t.split(" ") if self.by_word and t and "  " not in t and t[0] != " " != t[-1] else None for t in texts]
+        if len(self.words) > self.memory:
+            self.words, self.older = {}, self.words
+        new = {w for words in cut if words for w in words if w not in self.words}
+        self.words.update((w, self.older[w]) for w in new if w in self.older)
+        new = [w for w in new if w not in self.older]
+        self.words.update(zip(new, self._encode(new), strict=True))
+        whole = iter(self._encode([t for t, words in zip(texts, cut, strict=True) if words is None]))
+        return [next(whole) if words is None else b"".join(map(self.words.__getitem__, words)) for words in cut]
+
+
 def word_end_encoder(path: str) -> WordEndEncoder:
     """One encoder per worker process and vocabulary."""
     key = "word ends: " + path

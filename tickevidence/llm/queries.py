@@ -220,7 +220,7 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op12_token_alignment")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return alignment.score_links(alignment.align_documents(docs, tokenizer(), tokenizer("piece_bpe_32k.model")))
+    return alignment.score_links(alignment.align_in_blocks(docs, tokenizer(), tokenizer("piece_bpe_32k.model")))
 
 
 @_query("op13_bulk_best_fit")
