@@ -66,6 +66,23 @@ class CleaningPolicy:
             raise ValueError("iv_unit must be decimal or percent")
 
 
+# Columns of the two cleaned tables.
+OBSERVATION_SCHEMA = (
+    "observation_id string, source_row bigint, timestamps timestamp, underlying string, symbol string, exchange string, "
+    "spot double, iv double, volume bigint, timestamp_source string, source_receipt_id string, source_freshness string, "
+    "source_version string, provider_timestamp timestamp, data_status string"
+)
+OPTION_SCHEMA = (
+    "observation_id string, timestamps timestamp, underlying string, symbol string, exchange string, oi bigint, ltp double, "
+    "strike double, optiontype string, expirydate timestamp, daystoexpiry double, delta double, theta double, gamma double, "
+    "vega double, greeks_source string, derivation_status string"
+)
+
+
+def names_of(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(",")]
+
+
 @dataclass
 class Cleaned:
     """``accepted`` holds every typed column; the two tables are projections of it."""
@@ -76,19 +93,11 @@ class Cleaned:
 
     @property
     def observations(self) -> DataFrame:
-        return self.accepted.select(
-            "observation_id", "source_row", "timestamps", "underlying", "symbol", "exchange", "spot", "iv",
-            "volume", "timestamp_source", "source_receipt_id", "source_freshness", "source_version",
-            "provider_timestamp", "data_status",
-        )
+        return self.accepted.select(*names_of(OBSERVATION_SCHEMA))
 
     @property
     def options(self) -> DataFrame:
-        return self.accepted.select(
-            "observation_id", "timestamps", "underlying", "symbol", "exchange", "oi", "ltp", "strike",
-            "optiontype", "expirydate", "daystoexpiry", "delta", "theta", "gamma", "vega", "greeks_source",
-            "derivation_status",
-        )
+        return self.accepted.select(*names_of(OPTION_SCHEMA))
 
 
 def plain_header(name: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,13 @@ def rule_violations(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.agg(*sums).select(F.inline(F.array(*items)))
 
 
+def violations_by(df: DataFrame, rules: list[Rule], by: str) -> DataFrame:
+    """(by, rule, violations) of the rules that are broken, from a single grouped aggregation."""
+    sums = [F.count_if(F.coalesce(r.fails, F.lit(False))).alias(f"v{i}") for i, r in enumerate(rules)]
+    items = [F.struct(F.lit(r.name).alias("rule"), F.col(f"v{i}").alias("violations")) for i, r in enumerate(rules)]
+    return df.groupBy(by).agg(*sums).select(by, F.inline(F.array(*items))).filter("violations > 0")
+
+
 def with_failures(df: DataFrame, rules: list[Rule], name: str = "failures") -> DataFrame:
     """Add the array of (rule, severity) that each row violates."""
     found = [
@@ -360,14 +368,45 @@ def _repeats(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     )
 
 
+PAIR_KEY = ["timestamps", "underlying", "symbol", "exchange", "strike", "optiontype", "expirydate"]
+
+
+def pair_violations(observations: DataFrame, options: DataFrame, by: str, model: str = "BLACK76") -> DataFrame:
+    """Broken rules of the cleaned pair per ``by`` (a day): (by, rule, violations). Both tables carry ``by``.
+
+    The same rules as :func:`validate_pair`; an id whose halves lie in different days breaks the pairing on both.
+    """
+    plain = [c for c in options.columns if c != by]
+
+    def repeats(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+        counts = df.groupBy(by, *keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        return counts.groupBy(by).agg(F.count(F.lit(1)).alias("violations")).select(by, F.lit(name).alias("rule"), "violations")
+
+    sides = observations.select(by, "observation_id", F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+        options.select(by, "observation_id", F.lit(0).alias("l"), F.lit(1).alias("r"))
+    )
+    unmatched = sides.groupBy(by, "observation_id").agg(F.sum("l").alias("l"), F.sum("r").alias("r")).filter("l <> 1 OR r <> 1")
+    unmatched = unmatched.groupBy(by).agg(F.count(F.lit(1)).alias("violations"))
+    pair = observations.join(options.select(by, *[F.col(n).alias(n if n == "observation_id" else f"opt_{n}") for n in plain]), [by, "observation_id"])
+    parts = [
+        violations_by(observations, observation_rules(observations.columns), by),
+        violations_by(options, option_rules(options.columns, model), by),
+        repeats(observations, ["observation_id"], "observations: duplicate observation_id"),
+        repeats(options, ["observation_id"], "options: duplicate observation_id"),
+        repeats(options, PAIR_KEY, "options: repeated natural key"),
+        unmatched.select(by, F.lit("tables: observation_id foreign keys must match one-to-one").alias("rule"), "violations"),
+        violations_by(pair, pair_rules(pair.columns, model), by),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def validate_pair(observations: DataFrame, options: DataFrame, model: str = "BLACK76") -> DataFrame:
     """All rules of the cleaned pair as (rule, violations)."""
-    key = ["timestamps", "underlying", "symbol", "exchange", "strike", "optiontype", "expirydate"]
     out = rule_violations(observations, observation_rules(observations.columns))
     out = out.unionByName(rule_violations(options, option_rules(options.columns, model)))
     out = out.unionByName(_repeats(observations, ["observation_id"], "observations: duplicate observation_id"))
     out = out.unionByName(_repeats(options, ["observation_id"], "options: duplicate observation_id"))
-    out = out.unionByName(_repeats(options, key, "options: repeated natural key"))
+    out = out.unionByName(_repeats(options, PAIR_KEY, "options: repeated natural key"))
     ids = (
         observations.select("observation_id", F.lit(1).alias("l"), F.lit(0).alias("r"))
         .unionByName(options.select("observation_id", F.lit(0).alias("l"), F.lit(1).alias("r")))

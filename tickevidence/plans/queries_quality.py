@@ -184,6 +184,26 @@ def validate_cleaned_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.validate_pair(done.observations, done.options)
 
 
+@query(
+    "pair_faults",
+    f"""WITH {_TEXT_SQL},
+n AS (SELECT event_id % 8 AS fault, count(*) AS n FROM final WHERE reason IS NULL GROUP BY 1)
+SELECT rule, CAST(sum(n) AS BIGINT) AS violations FROM n JOIN (VALUES (1, 'tables: mismatched underlying for observation_id'),
+  (2, 'tables: observation_id foreign keys must match one-to-one'), (3, 'tables: observation_id foreign keys must match one-to-one'),
+  (3, 'options: duplicate observation_id'), (3, 'options: repeated natural key'), (4, 'options.optiontype: expected CE or PE')) r(fault, rule) USING (fault) GROUP BY rule""",
+)
+def pair_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5: the broken rules of a pair with planted faults, all others hold."""
+    done = _cleaned(spark, sf_dir)
+    names = L.names_of(L.OPTION_SCHEMA)
+    fault = F.expr("(source_row div 10) % 8")
+    options = done.accepted.withColumn("_fault", fault).filter("_fault <> 2")
+    options = options.withColumn("underlying", F.when(F.col("_fault") == 1, "other").otherwise(F.col("underlying")))
+    options = options.withColumn("optiontype", F.when(F.col("_fault") == 4, "XX").otherwise(F.col("optiontype")))
+    options = options.unionByName(options.filter("_fault = 3")).select(*names)
+    return Q.validate_pair(done.observations, options).filter("violations > 0")
+
+
 def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
     k, v, e = F.col("k"), F.col("value"), F.col("event_id")

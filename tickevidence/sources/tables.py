@@ -166,18 +166,34 @@ def iso_text(col: Column) -> Column:
     return F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
 
 
-def write_table_pair(observations: DataFrame, options: DataFrame, folder: str) -> None:
-    """Both cleaned tables as Parquet with CSV companions: ISO times, blanks for NULL."""
+#: Overwrites the days of this write only: it clears what a stopped attempt left of them.
+ONLY_THESE_DAYS = {"partitionOverwriteMode": "dynamic"}
+
+
+def write_table_pair(observations: DataFrame, options: DataFrame, folder: str, *, replace_days: bool = False) -> None:
+    """Both cleaned tables as Parquet by day with CSV companions: ISO times, blanks for NULL.
+
+    The folder must be new; with ``replace_days`` the days of these rows take the place
+    of what a stopped attempt left of them, and the CSV files lie in one folder per day, too.
+    """
     for name, df in (("observations", observations), ("options", options)):
-        df.write.partitionBy("trading_date").parquet(os.path.join(folder, f"{name}.parquet"))
         text = df.select(
             *[iso_text(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "timestamp" else f.name for f in df.schema.fields]
         )
-        text.write.csv(os.path.join(folder, f"{name}.csv"), header=True, emptyValue="", nullValue="")
+        if replace_days:
+            text = text.withColumn("day", F.col("trading_date"))
+        rows, lines = df.write.partitionBy("trading_date"), text.write
+        if replace_days:
+            rows = rows.mode("overwrite").options(**ONLY_THESE_DAYS)
+            lines = lines.mode("overwrite").options(**ONLY_THESE_DAYS).partitionBy("day")
+        rows.parquet(os.path.join(folder, f"{name}.parquet"))
+        lines.csv(os.path.join(folder, f"{name}.csv"), header=True, emptyValue="", nullValue="")
 
 
 def write_quarantine(rows: DataFrame, folder: str) -> None:
-    rows.write.json(os.path.join(folder, "quarantine.jsonl"))
+    """Rejected rows by day as JSON lines with reason and raw record."""
+    writer = rows.write.mode("overwrite").options(**ONLY_THESE_DAYS).partitionBy("trading_date")
+    writer.json(os.path.join(folder, "quarantine.jsonl"))
 
 
 def revision_id(source_digest: str, metadata: str, pipeline: str) -> str:
