@@ -10,7 +10,6 @@ remembered. Within a window, further shared ends cut groups.
 from __future__ import annotations
 
 import hashlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +34,7 @@ SCORED = (
 #: begins, and the last one is kept beside it.
 MEMORY = 120_000
 #: Links of one block of documents: the unit whose distinct pairs are counted and looked up together.
-BLOCK_LINKS = 1_000_000
+BLOCK_LINKS = 250_000
 #: Bits of an id in a pair; a pair is the first id shifted by this many bits plus the second.
 BITS = 24
 
@@ -46,6 +45,15 @@ def _slices(raw: bytes, cuts: list[int], width: int) -> list[bytes]:
     return [raw[i:k] for i, k in zip([0, *stops], [*stops, len(raw)], strict=True)]
 
 
+def _shared(one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the values that two rising arrays share, in each of them."""
+    if not len(one) or not len(other):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    place = np.minimum(np.searchsorted(other, one), len(other) - 1)
+    same = other[place] == one
+    return np.flatnonzero(same), place[same]
+
+
 class Aligner:
     """Groups and links of texts under two tokenizers.
 
@@ -67,11 +75,11 @@ class Aligner:
         self.len_b = np.array([len(x) for x in self.bytes_b])
         self.blank_a = np.array([x[:1] == b" " for x in self.bytes_a])
         self.blank_b = np.array([x[:1] == b" " for x in self.bytes_b])
-        # The same per token, as lists for single windows.
-        self.sizes_a, self.sizes_b = self.len_a.tolist(), self.len_b.tolist()
-        self.names_a, self.names_b = [str(i) for i in range(len(self.bytes_a))], [str(i) for i in range(len(self.bytes_b))]
-        self.windows: dict[tuple[bytes, bytes], tuple[str, int, bytes, bytes | None]] = {}
-        self.older: dict[tuple[bytes, bytes], tuple[str, int, bytes, bytes | None]] = {}
+        # Decimal ids with the sign behind them: in a group, at its end of the first side, in a group, at its end.
+        rows = ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;"))
+        self.names = [f"{i}{sign}" for n, signs in rows for sign in signs for i in range(n)]
+        self.windows: dict[tuple[bytes, bytes], tuple[str, bytes, bytes | None]] = {}
+        self.older: dict[tuple[bytes, bytes], tuple[str, bytes, bytes | None]] = {}
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.model.id_to_piece(i)
@@ -81,68 +89,87 @@ class Aligner:
         """Per text the numbers of tokens of both and of groups, the groups as text, and the links as packed pairs."""
         ids_a = [np.frombuffer(x, self.a.dtype) for x in self.a.encode_led(texts)]
         ids_b = [np.frombuffer(x, self.b.dtype) for x in self.b.encode(texts)]
-        out = [self._document(t, a, b) for t, a, b in zip(texts, ids_a, ids_b, strict=True)]
+        keys = [self._cut(a, b) for a, b in zip(ids_a, ids_b, strict=True)]
+        found = [list(map(self.windows.get, document)) for document in keys]
+        gaps = [[n for n, w in enumerate(document) if w is None] if None in document else [] for document in found]
+        self._remember({document[n] for document, missing in zip(keys, gaps, strict=True) for n in missing})
+        for document, windows, missing in zip(keys, found, gaps, strict=True):
+            for n in missing:
+                windows[n] = self.windows[document[n]]
+        out = [self._document(*x) for x in zip(texts, ids_a, ids_b, found, strict=True)]
         if len(self.windows) > MEMORY:
             self.windows, self.older = {}, self.windows
         return out
 
-    def _document(self, text: str, a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, str, bytes]:
-        none = (0, 0, 0, "", b"")
-        if not text:
-            return none
-        # Starts of tokens that begin with a blank: where both tokenizers have one at the same byte, a window begins.
+    def _cut(self, a: np.ndarray, b: np.ndarray) -> list[tuple[bytes, bytes]]:
+        """The windows of a document: cut before tokens that begin with a blank, where both sides have one at the same byte."""
         at_a = np.flatnonzero(self.blank_a[a[1:]]) + 1
         at_b = np.flatnonzero(self.blank_b[b[1:]]) + 1
         ends_a, ends_b = np.cumsum(self.len_a[a])[at_a - 1], np.cumsum(self.len_b[b])[at_b - 1]
-        if len(ends_a) == len(ends_b) and (ends_a == ends_b).all():
-            cut_a, cut_b = at_a.tolist(), at_b.tolist()
-        else:
-            place = np.searchsorted(ends_b, ends_a)
-            shared = ends_b[np.minimum(place, len(ends_b) - 1)] == ends_a if len(ends_b) else np.zeros(len(ends_a), bool)
-            cut_a, cut_b = at_a[shared].tolist(), at_b[place[shared]].tolist()
-        raw_a, raw_b = a.tobytes(), b.tobytes()
-        keys = list(zip(_slices(raw_a, cut_a, a.itemsize), _slices(raw_b, cut_b, b.itemsize), strict=True))
-        found = list(map(self.windows.get, keys))
-        if None in found:
-            for n, key in enumerate(keys):
-                if found[n] is None:
-                    found[n] = self._remember(key)
-        spelled = [w[3] for w in found]
+        if len(ends_a) != len(ends_b) or (ends_a != ends_b).any():
+            here, there = _shared(ends_a, ends_b)
+            at_a, at_b = at_a[here], at_b[there]
+        sides = (_slices(x.tobytes(), at.tolist(), x.itemsize) for x, at in ((a, at_a), (b, at_b)))
+        return list(zip(*sides, strict=True))
+
+    def _document(self, text: str, a: np.ndarray, b: np.ndarray, found: list) -> tuple[int, int, int, str, bytes]:
+        spelled = [w[2] for w in found]
         # Both tokenizers must spell the text: each window alike, and all of them together.
-        if None in spelled or b"".join(spelled) != b" " + text.encode():
-            return none
-        return len(a), len(b), sum([w[1] for w in found]), ";".join([w[0] for w in found]), b"".join([w[2] for w in found])
-
-    def _remember(self, key: tuple[bytes, bytes]) -> tuple[str, int, bytes, bytes | None]:
-        """The alignment of a window that the memory in use does not hold."""
-        known = self.windows.get(key) or self.older.get(key)
-        if known is None:
-            known = self._window(array(self.a.code, key[0]), array(self.b.code, key[1]))
-        self.windows[key] = known
-        return known
-
-    def _window(self, a: array, b: array) -> tuple[str, int, bytes, bytes | None]:
-        """Groups of one window as text, their number, a link for each shared end, and the bytes that both spell (else None)."""
-        spelled = b"".join(map(self.bytes_a.__getitem__, a))
-        if b"".join(map(self.bytes_b.__getitem__, b)) != spelled:
-            return "", 0, b"", None
-        size_a, size_b, name_a, name_b = self.sizes_a, self.sizes_b, self.names_a, self.names_b
-        out, links = [], []
-        more = iter(b)
-        end_a = end_b = 0
-        first = second = ""
-        for x in a:
-            end_a += size_a[x]
-            first = f"{first},{name_a[x]}" if first else name_a[x]
-            while end_b < end_a:
-                y = next(more)
-                end_b += size_b[y]
-                second = f"{second},{name_b[y]}" if second else name_b[y]
-            if end_a == end_b:
-                out.append(f"{first}|{second}")
-                links.append(x << BITS | y)
-                first = second = ""
-        return ";".join(out), len(out), array("q", links).tobytes(), spelled
+        if not text or None in spelled or b"".join(spelled) != b" " + text.encode():
+            return 0, 0, 0, "", b""
+        links = b"".join([w[1] for w in found])
+        return len(a), len(b), len(links) // 8, ";".join([w[0] for w in found]), links
+
+    def _remember(self, keys: set[tuple[bytes, bytes]]) -> None:
+        """Take the alignments of windows over from the older memory, or work them out, all new ones at once."""
+        new = []
+        for key in keys:
+            known = self.older.get(key)
+            if known is None:
+                new.append(key)
+            else:
+                self.windows[key] = known
+        sides = []
+        for side, (ids, spell) in enumerate(((self.a.dtype, self.bytes_a), (self.b.dtype, self.bytes_b))):
+            flat = np.frombuffer(b"".join([k[side] for k in new]), ids)
+            stops = np.cumsum([len(k[side]) // ids.itemsize for k in new], dtype=np.int64)
+            sizes = (self.len_a, self.len_b)[side][flat]
+            bytes_to = np.concatenate([[0], np.cumsum(sizes)])[stops].tolist()
+            whole = b"".join(map(spell.__getitem__, flat.tolist()))
+            sides.append([whole[i:k] for i, k in zip([0, *bytes_to], bytes_to)])
+        good = []
+        for key, one, other in zip(new, *sides, strict=True):
+            if one == other:
+                good.append((key, one))
+            else:
+                self.windows[key] = ("", b"", None)
+        if good:
+            self._align_windows(good)
+
+    def _align_windows(self, good: list[tuple[tuple[bytes, bytes], bytes]]) -> None:
+        """Groups and links of windows that both sides spell alike, laid end to end."""
+        a = np.frombuffer(b"".join([k[0] for k, _ in good]), self.a.dtype).astype(np.int64)
+        b = np.frombuffer(b"".join([k[1] for k, _ in good]), self.b.dtype).astype(np.int64)
+        ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
+        last_a, last_b = _shared(ends_a, ends_b)
+        # In the text, a group's tokens of the first side stand before those of the second.
+        ends, pieces = np.zeros((2, len(a)), np.int64), np.zeros((2, len(b)), np.int64)
+        ends[0, last_a], pieces[0, last_b] = 1, 1
+        ends[1], pieces[1] = np.cumsum(ends[0]) - ends[0], np.cumsum(pieces[0]) - pieces[0]  # numbers of the groups
+        first_b, next_a = np.concatenate([[0], last_b + 1]), last_a + 1
+        names = np.empty(len(a) + len(b), np.int64)
+        names[np.arange(len(a)) + first_b[ends[1]]] = a + ends[0] * len(self.bytes_a)
+        names[np.arange(len(b)) + next_a[pieces[1]]] = 2 * len(self.bytes_a) + b + pieces[0] * len(self.bytes_b)
+        names = list(map(self.names.__getitem__, names.tolist()))
+        links = (a[last_a] << BITS | b[last_b]).astype("<i8").tobytes()
+        # A window's share: its tokens of both sides, and the shared ends within its bytes.
+        tokens = np.cumsum([len(k[0]) // self.a.dtype.itemsize + len(k[1]) // self.b.dtype.itemsize for k, _ in good]).tolist()
+        shared = np.searchsorted(ends_a[last_a], np.cumsum([len(x) for _, x in good]), "right") * 8
+        shared = shared.tolist()
+        at = to = 0
+        for (key, spelled), token, link in zip(good, tokens, shared, strict=True):
+            self.windows[key] = ("".join(names[at:token])[:-1], links[to:link], spelled)
+            at, to = token, link
 
 
 _LOADED: dict[tuple[str, str], Aligner] = {}
