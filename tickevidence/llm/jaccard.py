@@ -38,6 +38,9 @@ FURTHER_ORDERS = 2
 #: as soon as they are no more than this many per posting.
 STAR_ROUNDS, PAIRS_PER_POSTING = 3, 4
 
+#: Words of more bytes are hashed by themselves.
+LONG_WORD = 64
+
 _RNG = np.random.default_rng(20_240_607)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -70,6 +73,10 @@ def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
     power = np.multiply.accumulate(np.full(int(place.max()) + 1, _BASE))
     value = np.where(inside, _BYTE[b] * power[place], np.uint64(0))
     word = _mix(np.add.reduceat(value, starts))
+    # Such sums modulo 2**64 collide for long words made on purpose; those get a hash of their bytes.
+    stops = np.flatnonzero(inside & ~np.concatenate((inside[1:], [False]))) + 1
+    for k in np.flatnonzero(stops - starts > LONG_WORD).tolist():
+        word[k] = int.from_bytes(hashlib.blake2b(b[starts[k] : stops[k]].tobytes(), digest_size=8).digest(), "little")
     first = np.searchsorted(starts, np.concatenate(([0], ends[:-1])))
     last = np.searchsorted(starts, ends)
     wide = np.zeros(max(0, len(word) - words + 1), np.uint64)
