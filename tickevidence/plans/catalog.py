@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tickevidence.plans import (  # noqa: F401
     queries_features,
+    queries_files,
     queries_ingest,
     queries_joins,
     queries_ledger,

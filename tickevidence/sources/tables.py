@@ -10,6 +10,7 @@ import csv
 import hashlib
 import io
 import os
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,26 +49,49 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return rows.toDF(*(n.strip() for n in names))
 
 
-def read_json_lines(spark: SparkSession, path: str, fields: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejected) of a JSON-lines file, every field as text.
+@dataclass(frozen=True)
+class JsonRecords:
+    """Records of JSON files: typed later, every field as text here."""
+
+    rows: DataFrame  # the wanted fields
+    rejected: DataFrame  # (value, reason)
+    unknown: DataFrame  # (field, records): fields nobody asked for
+
+
+def read_json_records(spark: SparkSession, path: str, fields: list[str], *, array: bool = False) -> JsonRecords:
+    """Records of JSON-lines files, or with ``array`` of files that hold one array each.
 
-    Duplicate keys, NaN / Infinity words and nested values are rejected; whole
-    numbers beyond 2^53 keep every digit.
+    Duplicate keys and NaN / Infinity words spoil their line or array; records that are no
+    objects, and records with a nested value in any field, are rejected alone. Whole
+    numbers beyond 2^53 keep every digit. An array is parsed by the task that reads its file, then
+    its records spread like any rows.
     """
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    parsed = lines.withColumn("_doc", F.try_parse_json("value"))
-    kind = F.schema_of_variant("_doc")
-    staged = parsed.withColumn("_object", F.coalesce(kind.startswith("OBJECT"), F.lit(False)))
-    nested = F.lit(False)
-    for f in fields:
-        inner = F.schema_of_variant(F.try_variant_get("_doc", f"$.{f}", "variant"))
-        nested = nested | F.coalesce(inner.startswith("OBJECT") | inner.startswith("ARRAY"), F.lit(False))
-    reason = F.when(~F.col("_object"), "malformed_record").when(nested, "nested_value")
-    judged = staged.withColumn("reason", reason)
-    rows = judged.filter(F.col("reason").isNull()).select(
-        *[F.try_variant_get("_doc", f"$.{f}", "string").alias(f) for f in fields]
-    )
-    return rows, judged.filter(F.col("reason").isNotNull()).select("value", "reason")
+    texts = spark.read.text(path, wholetext=array).filter(F.trim("value") != "")
+    parsed = texts.withColumn("_doc", F.try_parse_json("value"))
+    whole = F.lit("malformed_array" if array else "malformed_record")
+    if array:
+        items = F.expr("try_variant_get(_doc, '$', 'array<variant>')")
+        parsed = parsed.withColumn("_items", items)
+        spoilt = parsed.filter(F.col("_items").isNull()).select("value", whole.alias("reason"))
+        records = parsed.select(F.explode("_items").alias("_doc")).withColumn("value", F.to_json("_doc"))
+    else:
+        spoilt = parsed.filter(F.col("_doc").isNull()).select("value", whole.alias("reason"))
+        records = parsed.filter(F.col("_doc").isNotNull())
+    members = records.withColumn("_map", F.expr("try_variant_get(_doc, '$', 'map<string, variant>')"))
+    nested = F.exists(F.map_values("_map"), lambda v: F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"))
+    reason = F.when(F.col("_map").isNull(), "malformed_record").when(nested, "nested_value")
+    judged = members.withColumn("reason", reason)
+    good = judged.filter(F.col("reason").isNull())
+    rows = good.select(*[F.expr(f"try_variant_get(try_element_at(_map, '{f}'), '$', 'string')").alias(f) for f in fields])
+    extra = F.array_except(F.map_keys("_map"), F.array(*[F.lit(f) for f in fields]))
+    unknown = good.select(F.explode(extra).alias("field")).groupBy("field").agg(F.count(F.lit(1)).alias("records"))
+    return JsonRecords(rows, judged.filter(F.col("reason").isNotNull()).select("value", "reason").unionByName(spoilt), unknown)
+
+
+def read_json_lines(spark: SparkSession, path: str, fields: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected) of JSON-lines files, see :func:`read_json_records`."""
+    found = read_json_records(spark, path, fields)
+    return found.rows, found.rejected
 
 
 def read_day(spark: SparkSession, path: str, date_column: str, date: str) -> DataFrame:
