@@ -89,36 +89,55 @@ class Aligner:
         """Per text the numbers of tokens of both and of groups, the groups as text, and the links as packed pairs."""
         ids_a = [np.frombuffer(x, self.a.dtype) for x in self.a.encode_led(texts)]
         ids_b = [np.frombuffer(x, self.b.dtype) for x in self.b.encode(texts)]
-        keys = [self._cut(a, b) for a, b in zip(ids_a, ids_b, strict=True)]
-        found = [list(map(self.windows.get, document)) for document in keys]
-        gaps = [[n for n, w in enumerate(document) if w is None] if None in document else [] for document in found]
-        self._remember({document[n] for document, missing in zip(keys, gaps, strict=True) for n in missing})
-        for document, windows, missing in zip(keys, found, gaps, strict=True):
-            for n in missing:
-                windows[n] = self.windows[document[n]]
-        out = [self._document(*x) for x in zip(texts, ids_a, ids_b, found, strict=True)]
+        out = [(0, 0, 0, "", b"")] * len(texts)
+        some = [k for k, t in enumerate(texts) if t and len(ids_a[k]) and len(ids_b[k])]
+        if not some:
+            return out
+        keys, counts = self._cut([ids_a[k] for k in some], [ids_b[k] for k in some])
+        found = list(map(self.windows.get, keys))
+        missing = [n for n, w in enumerate(found) if w is None]
+        self._remember({keys[n] for n in missing})
+        for n in missing:
+            found[n] = self.windows[keys[n]]
+        at = 0
+        for k, n in zip(some, counts, strict=True):
+            windows = found[at : at + n]
+            at += n
+            spelled = [w[2] for w in windows]
+            # Both tokenizers must spell the text: each window alike, and all of them together.
+            if None not in spelled and b"".join(spelled) == b" " + texts[k].encode():
+                links = b"".join([w[1] for w in windows])
+                out[k] = (len(ids_a[k]), len(ids_b[k]), len(links) // 8, ";".join([w[0] for w in windows]), links)
         if len(self.windows) > MEMORY:
             self.windows, self.older = {}, self.windows
         return out
 
-    def _cut(self, a: np.ndarray, b: np.ndarray) -> list[tuple[bytes, bytes]]:
-        """The windows of a document: cut before tokens that begin with a blank, where both sides have one at the same byte."""
-        at_a = np.flatnonzero(self.blank_a[a[1:]]) + 1
-        at_b = np.flatnonzero(self.blank_b[b[1:]]) + 1
-        ends_a, ends_b = np.cumsum(self.len_a[a])[at_a - 1], np.cumsum(self.len_b[b])[at_b - 1]
-        if len(ends_a) != len(ends_b) or (ends_a != ends_b).any():
-            here, there = _shared(ends_a, ends_b)
-            at_a, at_b = at_a[here], at_b[there]
-        sides = (_slices(x.tobytes(), at.tolist(), x.itemsize) for x, at in ((a, at_a), (b, at_b)))
-        return list(zip(*sides, strict=True))
-
-    def _document(self, text: str, a: np.ndarray, b: np.ndarray, found: list) -> tuple[int, int, int, str, bytes]:
-        spelled = [w[2] for w in found]
-        # Both tokenizers must spell the text: each window alike, and all of them together.
-        if not text or None in spelled or b"".join(spelled) != b" " + text.encode():
-            return 0, 0, 0, "", b""
-        links = b"".join([w[1] for w in found])
-        return len(a), len(b), len(links) // 8, ";".join([w[0] for w in found]), links
+    def _cut(self, ids_a: list[np.ndarray], ids_b: list[np.ndarray]) -> tuple[list[tuple[bytes, bytes]], list[int]]:
+        """The windows of documents, and how many each has.
+
+        A document is cut before tokens that begin with a blank, where both sides have one at
+        the same byte. All documents are laid end to end, with room for the longer side of each.
+        """
+        flat = [np.concatenate(ids_a), np.concatenate(ids_b)]
+        first = [np.concatenate([[0], np.cumsum([len(x) for x in ids])]) for ids in (ids_a, ids_b)]
+        ends = [np.concatenate([[0], np.cumsum(sizes[x])]) for sizes, x in zip((self.len_a, self.len_b), flat, strict=True)]
+        longer = np.maximum(*[np.diff(e[f]) for e, f in zip(ends, first, strict=True)])
+        base = np.concatenate([[0], np.cumsum(longer[:-1] + 1)])
+        anchors, places = [], []
+        for blank, x, f, e in zip((self.blank_a, self.blank_b), flat, first, ends, strict=True):
+            led = blank[x]
+            led[f[:-1]] = False  # a document's first token opens a window anyway
+            at = np.flatnonzero(led)
+            document = np.searchsorted(f, at, "right") - 1
+            anchors.append(at)
+            places.append(e[at] - e[f[document]] + base[document])
+        shared = _shared(*places)
+        sides = []
+        for x, f, at, here in zip(flat, first, anchors, shared, strict=True):
+            cuts = np.sort(np.concatenate([at[here], f[1:-1]]))
+            sides.append(_slices(x.tobytes(), cuts.tolist(), x.itemsize))
+        counts = np.diff(np.searchsorted(anchors[0][shared[0]], first[0])) + 1
+        return list(zip(*sides, strict=True)), counts.tolist()
 
     def _remember(self, keys: set[tuple[bytes, bytes]]) -> None:
         """Take the alignments of windows over from the older memory, or work them out, all new ones at once."""
@@ -223,7 +242,7 @@ def align_in_blocks(docs: DataFrame, first: str, second: str) -> DataFrame:
             *[([list(c)], pa.list_(pa.int64())) for c in (doc_id, n_a, n_b, n_groups)],
             ([list(sha)], pa.list_(pa.string())),
             ([[len(x) // 8 for x in links]], pa.list_(pa.int32())),
-            ([which.astype("<u4").tobytes()], pa.binary()),
+            ([which.astype("<u2" if len(pairs) <= 65_536 else "<u4").tobytes()], pa.binary()),
             ([pairs], pa.list_(pa.int64())),
             ([counts], pa.list_(pa.int64())),
         ]
@@ -277,7 +296,8 @@ def score_links(blocks: DataFrame) -> DataFrame:
                 row = [c[k] for c in batch.columns]
                 doc_id, n_a, n_b, n_groups, sha = [c.values for c in row[:5]]
                 sizes = row[5].values.to_numpy(zero_copy_only=False).astype(np.int64)
-                which = np.frombuffer(row[6].as_py(), "<u4")
+                packed = row[6].as_py()
+                which = np.frombuffer(packed, "<u2" if len(packed) == 2 * sizes.sum() else "<u4")
                 empty = not row[7].is_valid
                 count = np.zeros(0, np.int64) if empty else row[7].values.to_numpy(zero_copy_only=False)
                 best = np.zeros(0, np.int64) if empty else row[8].values.to_numpy(zero_copy_only=False).astype(np.int64)

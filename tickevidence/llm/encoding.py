@@ -235,12 +235,17 @@ class PieceEncoder:
         cut = [t.split(" ") if self.by_word and t and "  " not in t and t[0] != " " != t[-1] else None for t in texts]
         if len(self.words) > self.memory:
             self.words, self.older = {}, self.words
-        new = {w for words in cut if words for w in words if w not in self.words}
+        found = [list(map(self.words.get, words)) if words else [] for words in cut]
+        gaps = [[n for n, ids in enumerate(known) if ids is None] if None in known else [] for known in found]
+        new = {words[n] for words, missing in zip(cut, gaps, strict=True) for n in missing}
         self.words.update((w, self.older[w]) for w in new if w in self.older)
         new = [w for w in new if w not in self.older]
         self.words.update(zip(new, self._encode(new), strict=True))
+        for words, known, missing in zip(cut, found, gaps, strict=True):
+            for n in missing:
+                known[n] = self.words[words[n]]
         whole = iter(self._encode([t for t, words in zip(texts, cut, strict=True) if words is None]))
-        return [next(whole) if words is None else b"".join(map(self.words.__getitem__, words)) for words in cut]
+        return [next(whole) if words is None else b"".join(known) for words, known in zip(cut, found, strict=True)]
 
 
 def word_end_encoder(path: str) -> WordEndEncoder:
