@@ -61,6 +61,28 @@ def test_modified_rule(run):
     assert "conditions_frozen_and_bound_to_config" in failed(replace(run, rules=bent))
 
 
+def test_a_modified_rule_is_not_scanned(run):
+    frozen = R.rule_context("d", SAMPLING, SEARCH)
+    hits = R.occurrences(run.samples, run.rules, SAMPLING, SEARCH, frozen)
+    assert hits.count() == run.hits.count() > 0
+    for change in (
+        F.transform("predicates", lambda p: p.withField("threshold", p["threshold"] + 1)),
+        F.transform("predicates", lambda p: p.withField("operator", F.when(p["operator"] == ">=", "<=").otherwise(">="))),
+    ):
+        bent = run.rules.withColumn("predicates", change)
+        with pytest.raises(Exception, match="frozen rule was modified"):
+            R.occurrences(run.samples, bent, SAMPLING, SEARCH, frozen).count()
+    with pytest.raises(Exception, match="frozen rule was modified"):
+        R.occurrences(run.samples, run.rules, SAMPLING, SEARCH, R.rule_context("other", SAMPLING, SEARCH)).count()
+
+
+def test_another_tape_under_the_same_id_reuses_nothing(spark, run, tmp_path):
+    other = run.tape.withColumn("spot", F.col("spot") + 1)
+    root = run.samples.inputFiles()[0].removeprefix("file://").split("/samples-")[0]
+    again, _, _ = run_research(other, root, "d", SAMPLING, SEARCH)
+    assert again.samples.inputFiles() != run.samples.inputFiles()
+
+
 def test_foreign_dataset(run):
     assert "artifacts_bound_to_run" in failed(replace(run, dataset_id="other"))
 

@@ -94,6 +94,40 @@ def nested_candidates(
     return out.withColumn("candidate_count", F.coalesce("candidate_count", F.lit(0).cast("bigint")))
 
 
+def nested_ambiguities(
+    left: DataFrame,
+    candidates: DataFrame,
+    inner: DataFrame,
+    *,
+    on: list[str],
+    parent: str,
+    inner_on: dict[str, str],
+    evidence: list[str],
+    inner_evidence: list[str],
+) -> DataFrame:
+    """What :func:`nested_candidates` only counts, one row each: (on, parent, kind, evidence, inner evidence).
+
+    ``candidate`` rows where a left row has several, ``receipt`` rows where its only candidate has
+    several. Rows are joined to the keys that are ambiguous, never gathered by key.
+    """
+    keys = left.select(*on, F.col(parent).alias("parent")).distinct().withColumn("_pk", F.to_json(F.struct("parent")))
+    linked = candidates.select(*on, *{*evidence, *inner_on}).join(keys, on)
+    name = [*on, "_pk"]
+    counts = linked.groupBy(*name).agg(F.count(F.lit(1)).alias("_n"))
+    several = linked.join(counts.filter("_n > 1").drop("_n"), name)
+    blank = [F.lit(None).cast(inner.schema[c].dataType).alias(c) for c in inner_evidence]
+    listed = several.select(*on, "parent", F.lit("candidate").alias("kind"), *evidence, *blank)
+    receipts = inner.select(F.col("parent_id").alias("parent"), *[F.col(i).alias(f"_i_{c}") for c, i in inner_on.items()], *inner_evidence)
+    only = linked.join(counts.filter("_n = 1").drop("_n"), name)
+    same = F.col("l.parent") == F.col("r.parent")
+    for c in inner_on:
+        same = same & (F.col(f"l.{c}") == F.col(f"r._i_{c}"))
+    met = only.alias("l").join(receipts.alias("r"), same).select("l.*", *[F.col(f"r.{c}") for c in inner_evidence])
+    repeated = met.groupBy(*name).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    met = met.join(repeated, name)
+    return listed.unionByName(met.select(*on, "parent", F.lit("receipt").alias("kind"), *evidence, *inner_evidence))
+
+
 def issue_list(*checks: tuple[Column, str]) -> Column:
     """Names of the checks that hold, in order."""
     return F.array_compact(F.array(*[F.when(cond, name) for cond, name in checks]))

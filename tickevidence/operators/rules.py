@@ -303,13 +303,18 @@ def modified_rules(rules: DataFrame, context: str) -> DataFrame:
     )
 
 
-def evaluate_rules(samples: DataFrame, rules: DataFrame) -> DataFrame:
+def evaluate_rules(samples: DataFrame, rules: DataFrame, context: str | None = None) -> DataFrame:
     """Samples with one row per frozen rule: ``available`` and ``matched``.
 
     The rules (at most ``max_conditions``) reach the tasks as one array from a
-    scalar subquery; samples are not shuffled or joined.
+    scalar subquery; samples are not shuffled or joined. With ``context`` every rule must still
+    hash to its id, else the job fails and names the rule: a modified rule is never scanned.
     """
-    listed = rules.agg(F.collect_list(F.struct("condition_id", "predicates", "target")).alias("r")).scalar()
+    name = F.col("condition_id")
+    if context is not None:
+        same = name.eqNullSafe(condition_id(F.struct("predicates", "target"), context))
+        name = F.when(same, name).otherwise(F.raise_error(F.concat(F.lit("frozen rule was modified: "), name)))
+    listed = rules.agg(F.collect_list(F.struct(name.alias("condition_id"), "predicates", "target")).alias("r")).scalar()
     values = F.map_from_arrays(
         F.array(*[F.lit(f) for f in FEATURES]), F.array(*[finite(F.col(f)) for f in FEATURES])
     )
@@ -336,14 +341,14 @@ def evaluate_rules(samples: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def occurrences(
-    samples: DataFrame, rules: DataFrame, sampling: SamplePolicy, search: SearchPolicy
+    samples: DataFrame, rules: DataFrame, sampling: SamplePolicy, search: SearchPolicy, context: str | None = None
 ) -> DataFrame:
-    """Every match on every session; unknown outcomes have a NULL ``success``.
+    """Every match on every session; unknown outcomes have a NULL ``success``. ``context`` as in :func:`evaluate_rules`.
 
     ``nonoverlapping`` is chosen from anchors alone, reserving horizon plus quote
     age after each kept anchor.
     """
-    hits = evaluate_rules(with_partition(samples, search), rules).filter("matched")
+    hits = evaluate_rules(with_partition(samples, search), rules, context).filter("matched")
     reserve = to_us(sampling.horizon_seconds + sampling.quote_max_age_seconds)
     hits = hits.withColumn("_until", F.col("anchor_us") + F.lit(reserve).cast("bigint")).withColumn(
         "success", F.when(F.col("label") != "UNKNOWN", F.col("label") == F.col("target"))

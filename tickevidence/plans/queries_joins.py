@@ -76,23 +76,7 @@ LEFT JOIN rec r ON r.user_id = o.o_custkey % 150 AND r.line = c.line""",
 )
 def join_nested_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates with their own derived receipts."""
-    left = table(spark, sf_dir, "orders").withColumn("parent", F.col("o_custkey") % 150)
-    cands = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey"
-    )
-    inner = events(spark, sf_dir).filter("k % 3 = 0").select(
-        F.col("user_id").alias("parent_id"), (F.col("k") % 7 + 1).alias("line"), "event_id"
-    )
-    out = J.nested_candidates(
-        left,
-        cands,
-        inner,
-        on=["o_orderkey"],
-        parent="parent",
-        inner_on={"l_linenumber": "line"},
-        evidence=["l_partkey", "l_linenumber"],
-        inner_evidence=["event_id"],
-    )
+    out = J.nested_candidates(*_nested(spark, sf_dir), **_NESTED)
     return out.select(
         "o_orderkey",
         "candidate_count",
@@ -102,6 +86,37 @@ def join_nested_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_NESTED = {
+    "on": ["o_orderkey"],
+    "parent": "parent",
+    "inner_on": {"l_linenumber": "line"},
+    "evidence": ["l_partkey", "l_linenumber"],
+    "inner_evidence": ["event_id"],
+}
+
+
+def _nested(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Orders, their line items as candidates, and events as receipts of a customer and line."""
+    left = table(spark, sf_dir, "orders").withColumn("parent", F.col("o_custkey") % 150)
+    cands = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey")
+    inner = events(spark, sf_dir).filter("k % 3 = 0")
+    return left, cands, inner.select(F.col("user_id").alias("parent_id"), (F.col("k") % 7 + 1).alias("line"), "event_id")
+
+
+@query(
+    "join_nested_ambiguities",
+    f"""WITH {EVENTS_SQL},
+c AS (SELECT o_orderkey, o_custkey % 150 AS parent, l_partkey, l_linenumber, count(*) OVER (PARTITION BY o_orderkey) AS n
+      FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
+r AS (SELECT user_id, k % 7 + 1 AS line, event_id, count(*) OVER (PARTITION BY user_id, k % 7) AS n FROM ev WHERE k % 3 = 0)
+SELECT o_orderkey, parent, 'candidate' AS kind, l_partkey, l_linenumber, NULL::BIGINT AS event_id FROM c WHERE n > 1
+UNION ALL SELECT o_orderkey, parent, 'receipt', l_partkey, l_linenumber, event_id FROM c JOIN r ON user_id = parent AND line = l_linenumber WHERE c.n = 1 AND r.n > 1""",
+)
+def join_nested_ambiguities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ambiguous candidates and receipts themselves."""
+    return J.nested_ambiguities(*_nested(spark, sf_dir), **_NESTED)
+
+
 @query(
     "integrity_issues",
     """SELECT o_orderkey, concat_ws(',',

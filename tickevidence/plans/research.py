@@ -56,11 +56,12 @@ def run_research(
     if gate_zone:
         require_clean(research_gate(tape, gate_zone))
     content = dataset_digest(part_digests(bucket_digests(tape, "trading_date"))).first()["dataset_id"]
-    context = R.rule_context(dataset_id, sampling, search) + content
+    frozen = R.rule_context(dataset_id, sampling, search)
+    context = frozen + content
     samples = stage(spark, root, "samples", context, lambda: S.build_samples(tape, sampling, dataset_id))
     log = stage(spark, root, "search_log", context, lambda: R.search_log(samples, sampling, search, dataset_id))
     rules = stage(spark, root, "rules", context, lambda: R.top_rules(log, search.max_conditions))
-    hits = stage(spark, root, "hits", context, lambda: R.occurrences(samples, rules, sampling, search))
+    hits = stage(spark, root, "hits", context, lambda: R.occurrences(samples, rules, sampling, search, frozen))
     sums = stage(spark, root, "summaries", context, lambda: R.rule_summaries(samples, rules, hits, search))
     run = A.Run(tape, samples, log, rules, hits, sums, sampling, search, dataset_id)
     checks = stage(spark, root, "checks", context, lambda: A.audit(run))
