@@ -133,6 +133,9 @@ class Encoder:
         self._forget()
         return out
 
+    def forget_older(self) -> None:
+        self.words.older = {}
+
     def _forget(self) -> None:
         if len(self.words) > self.memory:
             self.words = self.words.renewed()
@@ -210,42 +213,18 @@ class WordEndEncoder:
 
 
 class PieceEncoder:
-    """Ids under a sentencepiece model, which puts a blank before each text.
-
-    Where no piece holds a blank behind another character, texts are cut at single
-    blanks and each distinct word is encoded once.
-    """
+    """Ids of whole texts under a sentencepiece model, which puts a blank before each text."""
 
-    def __init__(self, path: str, memory: int = MEMORY):
+    def __init__(self, path: str):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.code = "H" if len(pieces) <= 65_536 else "I"
-        self.dtype = np.dtype("<u2" if len(pieces) <= 65_536 else "<u4")
-        self.by_word = not any("\u2581" in p.lstrip("\u2581") for p in pieces)
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.memory = memory
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array(self.code, ids).tobytes() for ids in self.model.encode(texts, num_threads=1)]
+        wide = self.model.get_piece_size() > 65_536
+        self.dtype = np.dtype("<u4" if wide else "<u2")
+        self.code = "I" if wide else "H"
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.split(" ") if self.by_word and t and "  " not in t and t[0] != " " != t[-1] else None for t in texts]
-        if len(self.words) > self.memory:
-            self.words, self.older = {}, self.words
-        found = [list(map(self.words.get, words)) if words else [] for words in cut]
-        gaps = [[n for n, ids in enumerate(known) if ids is None] if None in known else [] for known in found]
-        new = {words[n] for words, missing in zip(cut, gaps, strict=True) for n in missing}
-        self.words.update((w, self.older[w]) for w in new if w in self.older)
-        new = [w for w in new if w not in self.older]
-        self.words.update(zip(new, self._encode(new), strict=True))
-        for words, known, missing in zip(cut, found, gaps, strict=True):
-            for n in missing:
-                known[n] = self.words[words[n]]
-        whole = iter(self._encode([t for t, words in zip(texts, cut, strict=True) if words is None]))
-        return [next(whole) if words is None else b"".join(known) for words, known in zip(cut, found, strict=True)]
+        return [array(self.code, ids).tobytes() for ids in self.model.encode(texts, num_threads=1)]
 
 
 def word_end_encoder(path: str) -> WordEndEncoder:
