@@ -30,7 +30,7 @@ BLOCKS = (
 SCORED = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 )
-#: Windows, and words of the first tokenizer, remembered per worker, about 600 and 200 bytes each; beyond that a new
+#: Windows, and words of both tokenizers, remembered per worker, about 600 and 200 bytes each; beyond that a new
 #: memory begins, and the last one is kept beside it until the task ends.
 MEMORY = 100_000
 #: Links of one block of documents: the unit whose distinct pairs are counted and looked up together.
@@ -62,7 +62,7 @@ class Aligner:
     """
 
     def __init__(self, first: str, second: str):
-        self.a, self.b = Encoder(first), PieceEncoder(second)
+        self.a, self.b = Encoder(first), PieceEncoder(second, MEMORY)
         self.a.memory = MEMORY
         vocabulary = self.a.full.get_vocab(with_added_tokens=True)
         bytes_of = {chr(letter): byte for byte, letter in _byte_letters().items()}
@@ -209,6 +209,7 @@ def _aligned(batches: Iterator[pa.RecordBatch], first: str, second: str) -> Iter
         yield [d for d, _ in group], work.align([t for _, t in group])
     work.older = {}
     work.a.forget_older()
+    work.b.forget_older()
 
 
 def align_documents(docs: DataFrame, first: str, second: str) -> DataFrame:
