@@ -20,8 +20,9 @@ from tickevidence.session import scratch_path
 
 
 def _run(spark: SparkSession, sf_dir: str, search):
-    tape = live_tape(spark, sf_dir)
-    return H.run_research(tape, scratch_path(spark, "research"), DATASET, POLICY, search, gate_zone="UTC")
+    root = scratch_path(spark, "research")
+    tape = H.accepted_rows(live_tape(spark, sf_dir), root, "UTC")
+    return H.run_research(tape, root, DATASET, POLICY, search, gate_zone="UTC")
 
 
 @query("research_audit")
