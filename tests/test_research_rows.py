@@ -37,3 +37,14 @@ def test_contradicting_rows_still_refuse_the_tape(spark, tmp_path):
     good = accepted_rows(tape(spark, data), str(tmp_path), ZONE)
     with pytest.raises(ValueError, match="conflicting_spot=1, repeated_observation_id=1"):
         require_clean(research_gate(good, ZONE))
+
+
+def test_metrics_of_events_with_a_zero_and_a_missing_value(spark, tmp_path):
+    first = dt.datetime(2024, 1, 1)
+    events = [(i, first + dt.timedelta(minutes=20 * i), "view", 100.0 + i % 40, '{"k": %d}' % (i % 19)) for i in range(288)]
+    events[7] = (*events[7][:3], 0.0, events[7][4])
+    events[9] = (*events[9][:3], None, events[9][4])
+    schema = "event_id bigint, ts timestamp, event_type string, value double, props string"
+    spark.createDataFrame(events, schema).withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(str(tmp_path / "events.parquet"))
+    row = queries()["research_metrics"](spark, str(tmp_path)).first()
+    assert row["source_rows"] == 2 * (288 - 2) and row["sample_count"] > 0
