@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickevidence.functions.clock import block_of, to_us, us
-from tickevidence.operators.asof import asof_roles, reach_blocks
+from tickevidence.operators.asof import asof_roles
 from tickevidence.operators.segments import with_previous
 
 # Return lags, average spans, warm-up and outcome horizons (seconds).
@@ -227,17 +227,26 @@ def excursions(
 ) -> DataFrame:
     """Largest favourable and adverse move strictly after a row, within the horizon.
 
-    Never below (above) zero; NULL when nothing follows in time.
+    Never below (above) zero; NULL when nothing follows in time. The series is cut at every
+    multiple of the horizon, so what follows a row is the rest of its own piece and the
+    beginning of the next one: two frames that only grow, however many rows a horizon holds.
+    ``block_seconds`` does not matter any more: pieces are one horizon long.
     """
     hor = to_us(horizon)
-    block = to_us(block_seconds) if block_seconds else 8 * hor
-    own = block_of(us(time), block)
-    spread = series.withColumn("_own", own).withColumn(
-        "_blk", F.explode(reach_blocks(us(time), block, 0, hor))
-    ).withColumn("_t", us(time))
-    ahead = W.partitionBy(*by, "_blk").orderBy("_t").rangeBetween(1, hor)
-    seen = spread.withColumn("_hi", F.max(price).over(ahead)).withColumn("_lo", F.min(price).over(ahead))
-    mine = seen.filter(F.col("_own") == F.col("_blk"))
+    own = block_of(us(time), hor)
+    here = F.struct(own.alias("blk"), F.lit(True).alias("mine"), us(time).alias("at"))
+    # A row also ends frames of the piece before, which reach it a horizon after their own row.
+    before = F.struct((own - 1).alias("blk"), F.lit(False).alias("mine"), (us(time) - F.lit(hor).cast("bigint")).alias("at"))
+    spread = series.filter(F.col(time).isNotNull()).withColumn("_to", F.explode(F.array(here, before)))
+    spread = spread.withColumns({"_blk": F.col("_to.blk"), "_mine": F.col("_to.mine"), "_at": F.col("_to.at")})
+    piece = W.partitionBy(*by, "_blk")
+    rest = piece.orderBy(F.desc("_at")).rangeBetween(W.unboundedPreceding, -1)
+    start = piece.orderBy("_at").rangeBetween(W.unboundedPreceding, 0)
+    later, next_piece = F.when(F.col("_mine"), F.col(price)), F.when(~F.col("_mine"), F.col(price))
+    seen = spread.withColumns(
+        {"_hi": F.max(later).over(rest), "_lo": F.min(later).over(rest), "_hi_next": F.max(next_piece).over(start), "_lo_next": F.min(next_piece).over(start)}
+    )
+    mine = seen.filter("_mine").withColumns({"_hi": F.greatest("_hi", "_hi_next"), "_lo": F.least("_lo", "_lo_next")})
     return mine.select(
         *by,
         time,
