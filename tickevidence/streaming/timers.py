@@ -126,12 +126,62 @@ def slot_gaps(
     )
 
 
+def joined_runs(runs: list[tuple[int, int]], limit: int) -> list[tuple[int, int]]:
+    """Runs (first, last) in order; those at most ``limit`` apart are one."""
+    out: list[list[int]] = []
+    for first, newest in sorted(runs):
+        if out and first - out[-1][1] <= limit:
+            out[-1][1] = max(out[-1][1], newest)
+        else:
+            out.append([first, newest])
+    return [(a, b) for a, b in out]
+
+
+def receipt_runs(times: pd.Series, limit: int) -> list[tuple[int, int]]:
+    """Receipts as runs without a silence longer than ``limit``: (first, last) of each."""
+    at = times.dropna().astype("int64").sort_values().to_numpy()
+    if not len(at):
+        return []
+    cut = (at[1:] - at[:-1] > limit).nonzero()[0]
+    first, newest = at[[0, *(cut + 1)]], at[[*cut, len(at) - 1]]
+    return list(zip(first.tolist(), newest.tolist(), strict=True))
+
+
+def decided_alerts(
+    last: int | None, stale: bool, runs: list[tuple[int, int]], watermark_us: int, limit: int
+) -> tuple[list[tuple[str, int, int]], int | None, bool, list[tuple[int, int]]]:
+    """Alerts that the watermark settles: (alerts, end of the last settled run, stale, what still waits).
+
+    A run is settled once the watermark has passed its first receipt: inside it nothing is
+    reported, so its end may still lie ahead. A run that waits begins ahead of the watermark.
+    """
+    out: list[tuple[str, int, int]] = []
+    rest: list[tuple[int, int]] = []
+    for first, newest in runs:
+        if last is not None and first - last <= limit:
+            if newest > last:
+                last, stale = newest, False
+        elif first < watermark_us:
+            if last is not None:
+                if not stale:
+                    out.append((STALE, last + limit, last))
+                out.append((RECEIVING, first, first))
+            last, stale = newest, False
+        else:
+            rest.append((first, newest))
+    if last is not None and not stale and watermark_us - last > limit:
+        out.append((STALE, last + limit, last))
+        stale = True
+    return out, last, stale, rest
+
+
 def staleness_alerts(df: DataFrame, *, by: str, time: str, limit_seconds: float, watermark: str) -> DataFrame:
     """One STALE row per silence longer than the limit, one RECEIVING row when a symbol comes back.
 
     STALE carries the moment the limit was reached, RECEIVING the first receipt after it. The
     clock is the watermark, which all symbols move together, so the silence of
-    one symbol is noticed while others go on.
+    one symbol is noticed while others go on. The state holds runs of receipts without such a
+    silence, so its size follows the silences inside the watermark delay, not the receipts.
     """
     limit = to_us(limit_seconds)
 
@@ -140,27 +190,18 @@ def staleness_alerts(df: DataFrame, *, by: str, time: str, limit_seconds: float,
         if state.exists:
             last, stale, waiting = state.get
             last = None if last < 0 else last
-            pending = json.loads(waiting)
+            pending = [(a, b) for a, b in json.loads(waiting)]
         mark = state.getCurrentWatermarkMs() * 1000
-        times = sorted({*pending, *(int(t) for frame in frames for t in frame["at_us"])})
-        out = []
-        for at in [t for t in times if t < mark and (last is None or t > last)]:
-            if last is not None and at - last > limit:
-                if not stale:
-                    out.append((STALE, last + limit, last))
-                out.append((RECEIVING, at, at))
-            last, stale = at, False
-        pending = [t for t in times if t >= mark]
-        if last is not None and not stale and mark - last > limit and not (pending and pending[0] - last <= limit):
-            out.append((STALE, last + limit, last))
-            stale = True
+        for frame in frames:
+            pending = joined_runs([*pending, *receipt_runs(frame["at_us"], limit)], limit)
+        out, last, stale, pending = decided_alerts(last, stale, pending, mark, limit)
         if out:
             yield pd.DataFrame(out, columns=["status", "at_us", "newest_us"]).assign(symbol=ids[0])[
                 ["symbol", "status", "at_us", "newest_us"]
             ]
         state.update((-1 if last is None else last, stale, json.dumps(pending)))
-        due = pending[0] + 1000 if pending else last + limit + 1000
-        if pending or not stale:
+        if pending or (last is not None and not stale):
+            due = pending[0][0] + 1000 if pending else last + limit + 1000
             state.setTimeoutTimestamp(max(due // 1000, state.getCurrentWatermarkMs() + 1))
 
     rows = df.withWatermark(time, watermark).select(F.col(by).cast("string").alias("symbol"), us(time).alias("at_us"), time)
