@@ -22,3 +22,25 @@ def test_words_around_the_bound():
     text = " ".join(words)
     assert jaccard.shingle_sets([text, text + " "], 4)[0].tolist() == jaccard.shingle_sets([text], 4)[0].tolist()
     assert len({jaccard.shingle_sets([w], 4)[0][0] for w in words}) == 4
+
+
+def test_candidate_sets_are_smaller_than_their_shingles(spark, tmp_path):
+    """What a pair carries to its verification: a packed text and half tokens, not 8 bytes a shingle three times over."""
+    import numpy as np
+
+    from tickevidence.llm import jaccard
+
+    words = [f"word{k * 7919 % 1000}" for k in range(800)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:-3])), (3, None)], "doc_id long, text string")
+    levels = spark.sparkContext.broadcast(np.zeros((2, 16), np.uint8))
+    names = {t: jaccard._node(jaccard.shingle_sets([t], 4)[0]) for t in (" ".join(words), " ".join(words[:-3]))}
+    rows = spark.createDataFrame([(k + 1, n) for k, n in enumerate(names.values())], "doc_id long, node long")
+    sets = jaccard._candidate_sets(docs, rows, rows.select("node"), levels, 4, 85).collect()
+    assert {r["node"] for r in sets} == set(names.values())
+    for r in sets:
+        _, body, further = r
+        assert len(body) + 4 * sum(map(len, further)) < 797 * 8
+    pair = spark.createDataFrame([tuple(sorted(names.values()))], "a long, b long")
+    found = jaccard._candidate_sets(docs, rows, rows.select("node"), levels, 4, 85)
+    assert jaccard._verified(pair, found, 4, 85).count() == 1
+    assert jaccard._verified(pair, found, 4, 100).count() == 0

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -98,17 +98,24 @@ def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Batches of up to 300 documents, at most about 2 MB of text (or one text) hashed at a time."""
     for piece in slices(batches, 300):
-        texts = piece.column(1).to_pylist()
-        found, held, size = [], [], 0
-        for t in texts:
-            held.append(t)
-            size += len(t)
-            if size > 2_000_000:
-                found += shingle_sets(held, words)
-                held, size = [], 0
-        if held:
+        yield piece, _hashed(piece.column(1).to_pylist(), words)
+
+
+def _hashed(texts: Iterable[str], words: int) -> list[np.ndarray]:
+    """The set of each text, with at most about 2 MB of text (or one text) hashed at a time."""
+    found, held, size = [], [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t)
+        if size > 2_000_000:
             found += shingle_sets(held, words)
-        yield piece, found
+            held, size = [], 0
+    return found + shingle_sets(held, words) if held else found
+
+
+def _half(tokens: np.ndarray) -> np.ndarray:
+    """The upper halves of tokens: equal tokens have equal halves, so a test for a shared one loses none."""
+    return (tokens >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _node(tokens: np.ndarray) -> int | None:
@@ -279,21 +286,32 @@ def _needed(x: Column, y: Column, percent: int) -> Column:
 # -- the join ---------------------------------------------------------------------------------
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: first the prefixes of the further orders must meet, then the sets are compared."""
+def _verified(pairs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link: first the prefixes of the further orders must meet, then the sets are compared.
+
+    A pair carries the packed texts, a third of the size of their shingles, and hashes them again.
+    """
     slim = sets.select("node", "further")
     a, b = (slim.select(F.col("node").alias(c), F.col("further").alias(f"f{c}")) for c in "ab")
     meets = F.forall(
         F.sequence(F.lit(0), F.lit(FURTHER_ORDERS - 1)), lambda k: F.arrays_overlap(F.get("fa", k), F.get("fb", k))
     )
     left = pairs.join(b, "b").join(a, "a").filter(meets).select("a", "b")
-    left = left.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
-    left = left.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
+    left = left.join(sets.select(F.col("node").alias("b"), F.col("body").alias("tb")), "b")
+    left = left.join(sets.select(F.col("node").alias("a"), F.col("body").alias("ta")), "a")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        x, y = (batch.column(k).to_pylist() for k in (0, 1))
+        # A node that is in several pairs of the batch is hashed once.
+        place: dict[int, tuple[int, int]] = {}
+        for column, nodes in enumerate((x, y)):
+            for row, node in enumerate(nodes):
+                place.setdefault(node, (2 + column, row))
+        texts = (zlib.decompress(batch.column(c)[row].as_py()).decode("utf-8", "surrogatepass") for c, row in place.values())
+        sets_of = dict(zip(place, _hashed(texts, words), strict=True))
         keep = []
-        for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+        for one, other in zip(x, y, strict=True):
+            s, t = sets_of[one], sets_of[other]
             both = len(np.intersect1d(s, t, assume_unique=True))
             keep.append(100 * both >= percent * (len(s) + len(t) - both))
         return pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -371,7 +389,7 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         need = _needed(F.col("nx"), F.col("ny"), percent)
         pairs = pairs.filter((need <= F.least("nx", "ny")) & (F.col("ix") <= F.col("nx") - need) & (F.col("iy") <= F.col("ny") - need))
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        found = stage_table(_verified(pairs, sets, percent), "links")
+        found = stage_table(_verified(pairs, sets, words, percent), "links")
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             parts = components(links)
@@ -388,7 +406,7 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 
 def _candidate_sets(texts: DataFrame, rows: DataFrame, nodes: DataFrame, levels, words: int, percent: int) -> DataFrame:
-    """node, its sorted tokens and its prefixes under the further orders, for candidate nodes only.
+    """node, a packed text of it and its prefixes (half tokens) under the further orders, for candidate nodes only.
 
     One document stands for each node. A Bloom filter of their ids keeps other texts
     from being hashed and shuffled; the join by node that follows is exact.
@@ -411,21 +429,21 @@ def _candidate_sets(texts: DataFrame, rows: DataFrame, nodes: DataFrame, levels,
                 yield b.filter(pa.array(keep | hit))
 
         for piece, sets in _sets(wanted(), words):
-            full = [s for s in sets if len(s)]
+            full = [(s, t) for s, t in zip(sets, piece.column(1), strict=True) if len(s)]
             orders = range(1, FURTHER_ORDERS + 1)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([_node(s) for s in full], pa.int64()),
-                    pa.array([s.tobytes() for s in full], pa.binary()),
+                    pa.array([_node(s) for s, _ in full], pa.int64()),
+                    pa.array([zlib.compress(t.as_buffer()) for _, t in full], pa.binary()),
                     pa.array(
-                        [[prefix(s, levels.value, k, percent).view(np.int64) for k in orders] for s in full],
-                        pa.list_(pa.list_(pa.int64())),
+                        [[_half(prefix(s, levels.value, k, percent)) for k in orders] for s, _ in full],
+                        pa.list_(pa.list_(pa.int32())),
                     ),
                 ],
-                names=["node", "tokens", "further"],
+                names=["node", "body", "further"],
             )
 
-    made = texts.mapInArrow(run, "node long, tokens binary, further array<array<long>>")
+    made = texts.mapInArrow(run, "node long, body binary, further array<array<int>>")
     wanted = made.join(nodes.select("node"), "node", "left_semi")
     # Several documents may show the same set; one row of each is kept.
     return stage_table(wanted.dropDuplicates(["node"]), "sets")
