@@ -44,3 +44,22 @@ def test_candidate_sets_are_smaller_than_their_shingles(spark, tmp_path):
     found = jaccard._candidate_sets(docs, rows, rows.select("node"), levels, 4, 85)
     assert jaccard._verified(pair, found, 4, 85).count() == 1
     assert jaccard._verified(pair, found, 4, 100).count() == 0
+
+
+def test_sets_are_made_for_nodes_of_pairs_only(spark, monkeypatch):
+    """A document that shares a shingle with a much longer one alone makes no pair, so no set of it is made."""
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, long), (2, long + " end"), (3, None)]
+    rows += [(100 + k, " ".join(f"w{i}" for i in range(k, k + 4))) for k in range(57)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    asked, made = [], jaccard._candidate_sets
+
+    def noted(texts, rows, nodes, *more):
+        asked.append({r["node"] for r in nodes.select("node").collect()})
+        return made(texts, rows, nodes, *more)
+
+    monkeypatch.setattr(jaccard, "_candidate_sets", noted)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.link_components(docs, 4, 85).collect()}
+    assert got == {d: 1 if d == 2 else d for d, _ in rows}
+    both = {jaccard._node(jaccard.shingle_sets([t], 4)[0]) for _, t in rows[:2]}
+    assert asked and all(a == both for a in asked)

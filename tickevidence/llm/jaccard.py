@@ -7,10 +7,10 @@ How it goes:
    are its prefix. Documents that link share a prefix shingle under any order, and under these
    orders shingles of shared passages hardly ever open a pair.
 3. Prefix shingles of the first order that two or more different sets share name the candidates.
-   Only for these the full sets and the prefixes of two further orders are made.
 4. Within a shingle's documents, first only the most connected document is paired with the others,
    and verified links merge them. What then lies in one component needs no further
-   pair. Once few pairs across components are left, all of them are verified.
+   pair. Once few pairs across components are left, all of them are verified. Only for the
+   sets of a round's pairs the texts are packed and the prefixes of two further orders made.
 5. Before a pair is verified it must share a prefix shingle under the other orders as well.
 
 Equal sets are one node throughout, so copies never make pairs.
@@ -357,7 +357,6 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     weight = shared.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
     nodes = shared.join(weight, "token").groupBy("node").agg(F.sum("size").alias("weight"))
     nodes = stage_table(nodes, "candidates")
-    sets = _candidate_sets(texts, rows, nodes, levels, words, percent)
 
     # Rounds of stars, then every pair that is left across components.
     posts = shared.join(nodes, "node")
@@ -388,11 +387,15 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         # Sizes must allow the similarity, and so must the places of the token: behind the first shared one lies all overlap.
         need = _needed(F.col("nx"), F.col("ny"), percent)
         pairs = pairs.filter((need <= F.least("nx", "ny")) & (F.col("ix") <= F.col("nx") - need) & (F.col("iy") <= F.col("ny") - need))
-        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        found = stage_table(_verified(pairs, sets, words, percent), "links")
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            parts = components(links)
+        pairs = stage_table(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "pairs")
+        if not pairs.isEmpty():
+            # Most shingles that are shared make no pair of fitting sizes and places: sets are made for nodes of pairs only.
+            paired = stage_table(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "paired")
+            sets = _candidate_sets(texts, rows, paired, levels, words, percent)
+            found = stage_table(_verified(pairs, sets, words, percent), "links")
+            if not found.isEmpty():
+                links = found if links is None else links.unionByName(found)
+                parts = components(links)
         if last:
             break
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), "node")
@@ -406,7 +409,7 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 
 def _candidate_sets(texts: DataFrame, rows: DataFrame, nodes: DataFrame, levels, words: int, percent: int) -> DataFrame:
-    """node, a packed text of it and its prefixes (half tokens) under the further orders, for candidate nodes only.
+    """node, a packed text of it and its prefixes (half tokens) under the further orders, for the given nodes only.
 
     One document stands for each node. A Bloom filter of their ids keeps other texts
     from being hashed and shuffled; the join by node that follows is exact.
