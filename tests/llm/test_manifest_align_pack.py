@@ -1,9 +1,11 @@
 """Merkle manifest, alignment of two tokenizers and bulk best-fit packing, each against plain Python."""
 
 import collections
+import gc
 import hashlib
 import math
 import os
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -245,6 +247,22 @@ def test_memories_that_start_anew_change_nothing(monkeypatch):
     assert [work.align([t])[0] for t in texts] == once
 
 
+def test_aligner_holds_nothing_but_words():
+    work = alignment.Aligner(tokenizer(), tokenizer("piece_bpe_32k.model"))
+    work.a.memory = work.b.memory = 0
+    work.align(["one text"])
+    gc.collect()
+    tracemalloc.start()
+    assert work.align([" ".join(f"w{i}x" for i in range(20_000))])[0][0] > 20_000
+    work.align(["one text"])
+    work.a.forget_older()
+    work.b.forget_older()
+    gc.collect()
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 3_000_000
+
+
 @needs_tables
 def test_alignment_query(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()

@@ -1,10 +1,8 @@
 """Aligning the tokens of two tokenizers over the same text by their shared byte ends.
 
 Both tokenizers encode the whole text (after one blank, which the second one adds
-itself). Where tokens of both end at the same byte and the next token of both starts
-with a blank, the document is cut into windows. A window is the pair of its id
-tuples; its alignment depends on nothing else, so it is worked out once per worker and
-remembered. Within a window, further shared ends cut groups.
+itself). Documents of a batch are laid end to end, and the bytes where tokens of both
+end cut their groups, all documents at once.
 """
 
 from __future__ import annotations
@@ -30,8 +28,8 @@ BLOCKS = (
 SCORED = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 )
-#: Windows, and words of both tokenizers, remembered per worker, about 600 and 200 bytes each; beyond that a new
-#: memory begins, and the last one is kept beside it until the task ends.
+#: Words of both tokenizers remembered per worker, about 200 bytes each; beyond that a new memory begins, and the
+#: last one is kept beside it until the task ends.
 MEMORY = 100_000
 #: Links of one block of documents: the unit whose distinct pairs are counted and looked up together.
 BLOCK_LINKS = 250_000
@@ -39,10 +37,19 @@ BLOCK_LINKS = 250_000
 BITS = 24
 
 
-def _slices(raw: bytes, cuts: list[int], width: int) -> list[bytes]:
-    """The ids between neighbouring cuts, which are numbers of ids."""
-    stops = [c * width for c in cuts]
-    return [raw[i:k] for i, k in zip([0, *stops], [*stops, len(raw)], strict=True)]
+def _slices(values: pa.Array, stops: np.ndarray) -> list[memoryview]:
+    """The bytes of the values up to each stop, joined; ``stops`` are numbers of values and rise."""
+    _, offsets, data = values.buffers()
+    ends = np.frombuffer(offsets, np.int64)[np.concatenate([[0], stops])].tolist()
+    view = memoryview(data or b"").cast("B")
+    return [view[i:k] for i, k in zip(ends, ends[1:])]
+
+
+def _spell(names: pa.Array, ids: list[np.ndarray]) -> list[memoryview]:
+    """The bytes of each document's tokens."""
+    if not ids:
+        return []
+    return _slices(names.take(pa.array(np.concatenate(ids))), np.cumsum([len(x) for x in ids]))
 
 
 def _shared(one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,129 +73,57 @@ class Aligner:
         self.a.memory = MEMORY
         vocabulary = self.a.full.get_vocab(with_added_tokens=True)
         bytes_of = {chr(letter): byte for byte, letter in _byte_letters().items()}
-        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             known = all(c in bytes_of for c in token)
-            self.bytes_a[i] = bytes(bytes_of[c] for c in token) if known else token.encode()
-        self.bytes_b = [self._piece(i) for i in range(self.b.model.get_piece_size())]
-        self.len_a = np.array([len(x) for x in self.bytes_a])
-        self.len_b = np.array([len(x) for x in self.bytes_b])
-        self.blank_a = np.array([x[:1] == b" " for x in self.bytes_a])
-        self.blank_b = np.array([x[:1] == b" " for x in self.bytes_b])
-        # Decimal ids with the sign behind them: in a group, at its end of the first side, in a group, at its end.
-        rows = ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;"))
-        self.names = [f"{i}{sign}" for n, signs in rows for sign in signs for i in range(n)]
-        self.windows: dict[tuple[bytes, bytes], tuple[str, bytes, bytes | None]] = {}
-        self.older: dict[tuple[bytes, bytes], tuple[str, bytes, bytes | None]] = {}
+            bytes_a[i] = bytes(bytes_of[c] for c in token) if known else token.encode()
+        bytes_b = [self._piece(i) for i in range(self.b.model.get_piece_size())]
+        self.bytes_a, self.bytes_b = pa.array(bytes_a, pa.large_binary()), pa.array(bytes_b, pa.large_binary())
+        self.len_a, self.len_b = (np.array([len(x) for x in side]) for side in (bytes_a, bytes_b))
+        # Decimal ids with the sign behind them: of the first side in a group and at its end there, then of the second.
+        rows = ((len(bytes_a), ",|"), (len(bytes_b), ",;"))
+        self.names = pa.array([f"{i}{sign}" for n, signs in rows for sign in signs for i in range(n)], pa.large_string())
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.model.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.model.is_byte(i) else piece.replace("\u2581", " ").encode()
 
-    def align(self, texts: list[str]) -> list[tuple[int, int, int, str, bytes]]:
-        """Per text the numbers of tokens of both and of groups, the groups as text, and the links as packed pairs."""
+    def align(self, texts: list[str]) -> list[tuple[int, int, int, memoryview, bytes]]:
+        """Per text the numbers of tokens of both and of groups, the groups as ASCII text, and the links as packed pairs."""
         ids_a = [np.frombuffer(x, self.a.dtype) for x in self.a.encode_led(texts)]
         ids_b = [np.frombuffer(x, self.b.dtype) for x in self.b.encode(texts)]
-        out = [(0, 0, 0, "", b"")] * len(texts)
+        out = [(0, 0, 0, memoryview(b""), b"")] * len(texts)
         some = [k for k, t in enumerate(texts) if t and len(ids_a[k]) and len(ids_b[k])]
-        if not some:
-            return out
-        keys, counts = self._cut([ids_a[k] for k in some], [ids_b[k] for k in some])
-        found = list(map(self.windows.get, keys))
-        missing = [n for n, w in enumerate(found) if w is None]
-        self._remember({keys[n] for n in missing})
-        for n in missing:
-            found[n] = self.windows[keys[n]]
-        at = 0
-        for k, n in zip(some, counts, strict=True):
-            windows = found[at : at + n]
-            at += n
-            spelled = [w[2] for w in windows]
-            # Both tokenizers must spell the text: each window alike, and all of them together.
-            if None not in spelled and b"".join(spelled) == b" " + texts[k].encode():
-                links = b"".join([w[1] for w in windows])
-                out[k] = (len(ids_a[k]), len(ids_b[k]), len(links) // 8, ";".join([w[0] for w in windows]), links)
-        if len(self.windows) > MEMORY:
-            self.windows, self.older = {}, self.windows
+        # Both tokenizers must spell the text.
+        spelled = [_spell(names, [ids[k] for k in some]) for names, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b))]
+        some = [k for k, one, other in zip(some, *spelled, strict=True) if one == other == b" " + texts[k].encode()]
+        if some:
+            for k, found in zip(some, self._align([ids_a[k] for k in some], [ids_b[k] for k in some]), strict=True):
+                out[k] = (len(ids_a[k]), len(ids_b[k]), *found)
         return out
 
-    def _cut(self, ids_a: list[np.ndarray], ids_b: list[np.ndarray]) -> tuple[list[tuple[bytes, bytes]], list[int]]:
-        """The windows of documents, and how many each has.
+    def _align(self, ids_a: list[np.ndarray], ids_b: list[np.ndarray]) -> Iterator[tuple[int, memoryview, bytes]]:
+        """Number of groups, groups and links of documents that both sides spell alike, laid end to end.
 
-        A document is cut before tokens that begin with a blank, where both sides have one at
-        the same byte. All documents are laid end to end, with room for the longer side of each.
+        Both sides of a document have the same bytes, so its end is shared, and no group reaches over it.
         """
-        flat = [np.concatenate(ids_a), np.concatenate(ids_b)]
-        first = [np.concatenate([[0], np.cumsum([len(x) for x in ids])]) for ids in (ids_a, ids_b)]
-        ends = [np.concatenate([[0], np.cumsum(sizes[x])]) for sizes, x in zip((self.len_a, self.len_b), flat, strict=True)]
-        longer = np.maximum(*[np.diff(e[f]) for e, f in zip(ends, first, strict=True)])
-        base = np.concatenate([[0], np.cumsum(longer[:-1] + 1)])
-        anchors, places = [], []
-        for blank, x, f, e in zip((self.blank_a, self.blank_b), flat, first, ends, strict=True):
-            led = blank[x]
-            led[f[:-1]] = False  # a document's first token opens a window anyway
-            at = np.flatnonzero(led)
-            document = np.searchsorted(f, at, "right") - 1
-            anchors.append(at)
-            places.append(e[at] - e[f[document]] + base[document])
-        shared = _shared(*places)
-        sides = []
-        for x, f, at, here in zip(flat, first, anchors, shared, strict=True):
-            cuts = np.sort(np.concatenate([at[here], f[1:-1]]))
-            sides.append(_slices(x.tobytes(), cuts.tolist(), x.itemsize))
-        counts = np.diff(np.searchsorted(anchors[0][shared[0]], first[0])) + 1
-        return list(zip(*sides, strict=True)), counts.tolist()
-
-    def _remember(self, keys: set[tuple[bytes, bytes]]) -> None:
-        """Take the alignments of windows over from the older memory, or work them out, all new ones at once."""
-        new = []
-        for key in keys:
-            known = self.older.get(key)
-            if known is None:
-                new.append(key)
-            else:
-                self.windows[key] = known
-        sides = []
-        for side, (ids, spell) in enumerate(((self.a.dtype, self.bytes_a), (self.b.dtype, self.bytes_b))):
-            flat = np.frombuffer(b"".join([k[side] for k in new]), ids)
-            stops = np.cumsum([len(k[side]) // ids.itemsize for k in new], dtype=np.int64)
-            sizes = (self.len_a, self.len_b)[side][flat]
-            bytes_to = np.concatenate([[0], np.cumsum(sizes)])[stops].tolist()
-            whole = b"".join(map(spell.__getitem__, flat.tolist()))
-            sides.append([whole[i:k] for i, k in zip([0, *bytes_to], bytes_to)])
-        good = []
-        for key, one, other in zip(new, *sides, strict=True):
-            if one == other:
-                good.append((key, one))
-            else:
-                self.windows[key] = ("", b"", None)
-        if good:
-            self._align_windows(good)
-
-    def _align_windows(self, good: list[tuple[tuple[bytes, bytes], bytes]]) -> None:
-        """Groups and links of windows that both sides spell alike, laid end to end."""
-        a = np.frombuffer(b"".join([k[0] for k, _ in good]), self.a.dtype).astype(np.int64)
-        b = np.frombuffer(b"".join([k[1] for k, _ in good]), self.b.dtype).astype(np.int64)
-        ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        last_a, last_b = _shared(ends_a, ends_b)
+        a, b = np.concatenate(ids_a).astype(np.int64), np.concatenate(ids_b).astype(np.int64)
+        last_a, last_b = _shared(np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b]))
         # In the text, a group's tokens of the first side stand before those of the second.
-        ends, pieces = np.zeros((2, len(a)), np.int64), np.zeros((2, len(b)), np.int64)
-        ends[0, last_a], pieces[0, last_b] = 1, 1
-        ends[1], pieces[1] = np.cumsum(ends[0]) - ends[0], np.cumsum(pieces[0]) - pieces[0]  # numbers of the groups
-        first_b, next_a = np.concatenate([[0], last_b + 1]), last_a + 1
-        names = np.empty(len(a) + len(b), np.int64)
-        names[np.arange(len(a)) + first_b[ends[1]]] = a + ends[0] * len(self.bytes_a)
-        names[np.arange(len(b)) + next_a[pieces[1]]] = 2 * len(self.bytes_a) + b + pieces[0] * len(self.bytes_b)
-        names = list(map(self.names.__getitem__, names.tolist()))
+        place_a = np.arange(len(a)) + np.repeat(np.concatenate([[0], last_b[:-1] + 1]), np.diff(last_a, prepend=-1))
+        place_b = np.arange(len(b)) + np.repeat(last_a + 1, np.diff(last_b, prepend=-1))
+        names = np.empty(len(a) + len(b), np.int32)
+        names[place_a], names[place_b] = a, b + 2 * len(self.len_a)
+        names[place_a[last_a]] += len(self.len_a)
+        names[place_b[last_b]] += len(self.len_b)
         links = (a[last_a] << BITS | b[last_b]).astype("<i8").tobytes()
-        # A window's share: its tokens of both sides, and the shared ends within its bytes.
-        tokens = np.cumsum([len(k[0]) // self.a.dtype.itemsize + len(k[1]) // self.b.dtype.itemsize for k, _ in good]).tolist()
-        shared = np.searchsorted(ends_a[last_a], np.cumsum([len(x) for _, x in good]), "right") * 8
-        shared = shared.tolist()
-        at = to = 0
-        for (key, spelled), token, link in zip(good, tokens, shared, strict=True):
-            self.windows[key] = ("".join(names[at:token])[:-1], links[to:link], spelled)
-            at, to = token, link
+        stops_a = np.cumsum([len(x) for x in ids_a])
+        tokens = stops_a + np.cumsum([len(x) for x in ids_b])
+        shared = np.searchsorted(last_a, stops_a).tolist()
+        at = 0
+        for text, to in zip(_slices(self.names.take(pa.array(names)), tokens), shared, strict=True):
+            yield to - at, text[:-1], links[8 * at : 8 * to]
+            at = to
 
 
 _LOADED: dict[tuple[str, str], Aligner] = {}
@@ -207,7 +142,6 @@ def _aligned(batches: Iterator[pa.RecordBatch], first: str, second: str) -> Iter
     texts = ((d, t) for b in batches for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
     for group in groups(texts, 250, 1_000_000):
         yield [d for d, _ in group], work.align([t for _, t in group])
-    work.older = {}
     work.a.forget_older()
     work.b.forget_older()
 
@@ -223,7 +157,7 @@ def align_documents(docs: DataFrame, first: str, second: str) -> DataFrame:
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
         names = ["doc_id", "n_a", "n_b", "n_groups", "groups", "links"]
         for ids, found in _aligned(batches, first, second):
-            columns = [ids, *map(list, zip(*found))]
+            columns = [ids, *map(list, zip(*((*n, str(text, "ascii"), links) for *n, text, links in found)))]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, ALIGNED)
@@ -257,7 +191,7 @@ def align_in_blocks(docs: DataFrame, first: str, second: str) -> DataFrame:
         rows, held = [], 0
         for ids, found in _aligned(batches, first, second):
             for doc_id, (n_a, n_b, n_groups, text, links) in zip(ids, found, strict=True):
-                sha = hashlib.sha256(text.encode()).hexdigest() if n_a else ""
+                sha = hashlib.sha256(text).hexdigest() if n_a else ""
                 rows.append((doc_id, n_a, n_b, n_groups, sha, links))
                 held += len(links) // 8
             if held >= BLOCK_LINKS or len(rows) >= BLOCK_LINKS:
