@@ -8,6 +8,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -210,6 +211,23 @@ def test_best_fit_decreasing_equals_a_plain_scan():
     assert sorted(used.values()) == want
 
 
+def test_packing_forgets_older_words_with_its_task(spark, monkeypatch):
+    enc = encoding.encoder(tokenizer())
+    monkeypatch.setattr(enc, "memory", 3)
+
+    class Rows:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):  # noqa: N802
+            return run
+
+    run = packing.pack_documents(Rows(), tokenizer())
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words more than three", "and others"])], names=["doc_id", "text"])
+    assert sum(b.num_rows for b in run(iter([batch]))) == 2
+    assert not enc.words.older
+
+
 def test_packing_holds_every_id_once(odd, none):
     rows = packing.pack_documents(odd, tokenizer(), window=64).collect()
     pieces, sequences = collections.defaultdict(list), collections.defaultdict(list)

@@ -138,6 +138,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, window: int
             rows = close(rest)
             for at in range(0, len(rows), 4096):
                 yield table(rows[at : at + 4096])
+        enc.forget_older()  # the worker outlives its task, and stages of other work follow in it
 
     return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, PIECES)
 
