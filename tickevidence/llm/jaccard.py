@@ -150,8 +150,8 @@ def prefix(tokens: np.ndarray, levels: np.ndarray, order: int, percent: int) ->
 # -- fixed-size summaries that are merged on the executors --------------------------------------
 
 
-def _merged(parts: DataFrame, bits_of: str) -> list[tuple[int, bytes]]:
-    """Sums (or bitwise ors) of compressed parts by number, over groups of 64 tasks and then over those."""
+def _merged(parts: DataFrame, bits_of: str) -> DataFrame:
+    """part, body: sums (or bitwise ors) of compressed parts by number, over groups of 64 tasks and then over those."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         total = None
@@ -167,7 +167,7 @@ def _merged(parts: DataFrame, bits_of: str) -> list[tuple[int, bytes]]:
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "body": pa.array([body], pa.binary())})
 
     some = parts.withColumn("some", F.floor(F.col("task") / 64)).groupBy("part", "some").applyInArrow(run, "part int, body binary")
-    return [(r["part"], r["body"]) for r in some.groupBy("part").applyInArrow(run, "part int, body binary").collect()]
+    return some.groupBy("part").applyInArrow(run, "part int, body binary")
 
 
 def _emit(array: np.ndarray, part_items: int, task: int) -> pa.RecordBatch:
@@ -184,8 +184,8 @@ def _emit(array: np.ndarray, part_items: int, task: int) -> pa.RecordBatch:
 def frequency_levels(texts: DataFrame, words: int, bits: int = SKETCH_BITS) -> np.ndarray:
     """How frequent each cell of shingles is, in two rows of 2**bits cells: 32 times its share of the mean, at most 255.
 
-    Counts documents over the whole table; each task sends its cells compressed, and only
-    the merged cells (a fixed 32 MB, 8 MB as levels) reach the driver. A cell
+    Counts documents over the whole table; each task sends its cells compressed, the merged cells (a fixed
+    32 MB) are staged, and only the levels (8 MB, sent compressed) reach the driver. A cell
     also counts other shingles, so a frequent shingle never looks rare. Any levels
     give right results; they steer which shingles come first.
     """
@@ -211,12 +211,24 @@ def frequency_levels(texts: DataFrame, words: int, bits: int = SKETCH_BITS) -> n
         if any_row:
             yield _emit(cells.ravel(), 1 << PART_BITS, TaskContext.get().partitionId())
 
-    cells = np.zeros(2 << bits, np.uint32)
-    for part, body in _merged(texts.mapInArrow(run, "task int, part int, body binary"), "sum"):
-        x = np.frombuffer(zlib.decompress(body), np.uint32)
-        cells[part << PART_BITS : (part << PART_BITS) + len(x)] = x
-    mean = max(1.0, float(cells.mean()))
-    return np.minimum(255, cells.astype(np.float32) * np.float32(32 / mean)).astype(np.uint8).reshape(2, -1)
+    def total(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sums = [int(np.frombuffer(zlib.decompress(x), np.uint32).sum(dtype=np.uint64)) for x in batch.column(0).to_pylist()]
+        return pa.RecordBatch.from_arrays([pa.array(sums, pa.int64())], names=["total"])
+
+    merged = stage_table(_merged(texts.mapInArrow(run, "task int, part int, body binary"), "sum"), "sketch")
+    count = map_arrow(merged, ["body"], total, "total long").agg(F.sum("total")).first()[0] or 0
+    scale = np.float32(32 / max(1.0, count / (2 << bits)))
+
+    def level(batch: pa.RecordBatch) -> pa.RecordBatch:
+        cells = (np.frombuffer(zlib.decompress(x), np.uint32) for x in batch.column(1).to_pylist())
+        bodies = [zlib.compress(np.minimum(255, c.astype(np.float32) * scale).astype(np.uint8).tobytes(), 1) for c in cells]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(bodies, pa.binary())], names=["part", "body"])
+
+    levels = np.zeros(2 << bits, np.uint8)
+    for part, body in map_arrow(merged, ["part", "body"], level, "part int, body binary").collect():
+        x = np.frombuffer(zlib.decompress(body), np.uint8)
+        levels[part << PART_BITS : (part << PART_BITS) + len(x)] = x
+    return levels.reshape(2, -1)
 
 
 def _bloom_cells(x: np.ndarray, size: int) -> list[np.ndarray]:
@@ -240,7 +252,7 @@ def _bloom(ids: DataFrame, count: int) -> np.ndarray:
             yield _emit(np.packbits(bits, bitorder="little"), 1 << PART_BITS, TaskContext.get().partitionId())
 
     out = np.zeros(size // 8, np.uint8)
-    for part, body in _merged(ids.mapInArrow(run, "task int, part int, body binary"), "or"):
+    for part, body in _merged(ids.mapInArrow(run, "task int, part int, body binary"), "or").collect():
         x = np.frombuffer(zlib.decompress(body), np.uint8)
         out[part << PART_BITS : (part << PART_BITS) + len(x)] = x
     return out
@@ -398,6 +410,7 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                 parts = components(links)
         if last:
             break
+    levels.destroy()  # all that used them is staged
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), "node")
     if parts is not None:
         out = out.join(parts, "node", "left").withColumn("comp", F.coalesce("comp", "node")).drop("node")
@@ -449,4 +462,6 @@ def _candidate_sets(texts: DataFrame, rows: DataFrame, nodes: DataFrame, levels,
     made = texts.mapInArrow(run, "node long, body binary, further array<array<int>>")
     wanted = made.join(nodes.select("node"), "node", "left_semi")
     # Several documents may show the same set; one row of each is kept.
-    return stage_table(wanted.dropDuplicates(["node"]), "sets")
+    made = stage_table(wanted.dropDuplicates(["node"]), "sets")
+    bits.destroy()
+    return made

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickevidence.llm.common import labelled_texts, map_arrow, text_or_empty
-from tickevidence.llm.textmodel import Scorer, Vocabulary, choose_features, fit_softmax, softmax, text_features
+from tickevidence.llm.textmodel import Scorer, TextFeatures, Vocabulary, choose_features, fit_softmax, softmax
 from tickevidence.session import stage_table
 
 #: Bounds of the classifier's fit: labelled texts per domain, and their length.
@@ -57,11 +57,12 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domain: Column, names: lis
     codes = np.array([c for _, c in sample], np.int64)
     if len(set(codes.tolist())) < 2:
         return DomainModel(tuple(names), None, None)
-    sets = [text_features(t) for t, _ in sample]
-    vocabulary = choose_features(sets, codes.tolist())
+    found = TextFeatures(t for t, _ in sample)
+    del sample  # the driver needs the numbers only
+    vocabulary = choose_features(found, codes)
     got = {c: int((codes == c).sum()) for c in set(codes.tolist())}
     weight = np.array([counts[c] / got[c] for c in codes.tolist()])
-    weights = fit_softmax(vocabulary.matrix(sets), codes, len(names), weight)
+    weights = fit_softmax(vocabulary.matrix(found), codes, len(names), weight)
     for c in range(len(names)):
         if c not in got:
             weights[-1, c] = -1e4

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -19,7 +17,6 @@ _MARKS = ".,;:!?\"'()[]{}|#*$%&<>"
 _BEGINNINGS = (4, 5, 6)
 
 
-@lru_cache(maxsize=200_000)
 def word_features(word: str) -> tuple[str, ...]:
     """The word without its marks in lower case, and its beginnings, which endings do not change."""
     w = word.strip(_MARKS).lower()
@@ -40,10 +37,36 @@ def shape_features(text: str, words: list[str], distinct: set[str]) -> list[str]
     return [*steps, f"s words {len(words).bit_length()}"]
 
 
-def text_features(text: str) -> set[str]:
-    words = text.split()
-    distinct = set(words)
-    return set(chain.from_iterable(map(word_features, distinct))) | set(shape_features(text, words, distinct))
+class _Numbers(dict[str, int]):
+    """Names by number, counted up as they are first asked for."""
+
+    def __missing__(self, name: str) -> int:
+        self[name] = number = len(self)
+        return number
+
+
+class TextFeatures:
+    """The features of a sample's texts as sorted numbers, four bytes each; every name is held once."""
+
+    def __init__(self, texts: Iterable[str]):
+        numbers, seen = _Numbers(), {}
+        self.rows: list[np.ndarray] = []
+        for text in texts:
+            words = text.split()
+            distinct = set(words)
+            for word in distinct.difference(seen):
+                seen[word] = tuple(numbers[f] for f in word_features(word))
+            found = set(chain.from_iterable(map(seen.__getitem__, distinct)))
+            found.update(numbers[f] for f in shape_features(text, words, distinct))
+            self.rows.append(np.sort(np.fromiter(found, np.int32, len(found))))
+        self.names = list(numbers)
+
+    def counts(self, rows: np.ndarray) -> np.ndarray:
+        """In how many of the texts that a mask picks each feature occurs."""
+        total = np.zeros(len(self.names), np.int64)
+        for row in np.flatnonzero(rows):
+            total[self.rows[row]] += 1
+        return total
 
 
 @dataclass(frozen=True)
@@ -52,35 +75,41 @@ class Vocabulary:
 
     index: dict[str, int]
 
-    def matrix(self, sets: list[set[str]]) -> np.ndarray:
-        x = np.zeros((len(sets), len(self.index)), np.float32)
-        for row, found in zip(x, sets, strict=True):
-            row[[self.index[f] for f in found if f in self.index]] = 1
+    def matrix(self, found: TextFeatures) -> np.ndarray:
+        column = np.array([self.index.get(f, -1) for f in found.names], np.int64)
+        x = np.zeros((len(found.rows), len(self.index)), np.float32)
+        for row, numbers in zip(x, found.rows, strict=True):
+            at = column[numbers]
+            row[at[at >= 0]] = 1
         return x
 
 
-def choose_features(sets: list[set[str]], classes: list[int], most: int = MAX_FEATURES) -> Vocabulary:
-    """The features whose share differs most between a class and the rest; shapes always stay."""
-    total, n = Counter(chain.from_iterable(sets)), len(sets)
-    value: dict[str, float] = {}
-    for c in sorted(set(classes)):
-        own = Counter(chain.from_iterable(s for s, k in zip(sets, classes, strict=True) if k == c))
-        m = sum(k == c for k in classes)
-        for f, count in total.items():
-            if count >= 3:
-                a, b = own[f], count - own[f]
-                odds = math.log((a + 0.5) / (m - a + 0.5)) - math.log((b + 0.5) / (n - m - b + 0.5))
-                value[f] = max(value.get(f, 0.0), abs(odds) * math.sqrt(count))
-    shapes = sorted(f for f in total if f.startswith("s "))
-    best = sorted((f for f in value if not f.startswith("s ")), key=lambda f: (-value[f], f))[:most]
-    return Vocabulary({f: i for i, f in enumerate(shapes + best)})
+def choose_features(found: TextFeatures, classes: np.ndarray, among: np.ndarray | None = None, most: int = MAX_FEATURES) -> Vocabulary:
+    """The features whose share differs most between a class and the rest, over all texts or those a mask picks; shapes always stay."""
+    among = np.ones(len(classes), bool) if among is None else among
+    total, n = found.counts(among), int(among.sum())
+    frequent = np.flatnonzero(total >= 3)
+    value = dict.fromkeys(frequent.tolist(), 0.0)
+    for c in sorted(set(classes[among].tolist())):
+        mine = among & (classes == c)
+        own, m = found.counts(mine), int(mine.sum())
+        for f, a, count in zip(frequent.tolist(), own[frequent].tolist(), total[frequent].tolist(), strict=True):
+            b = count - a
+            odds = math.log((a + 0.5) / (m - a + 0.5)) - math.log((b + 0.5) / (n - m - b + 0.5))
+            value[f] = max(value[f], abs(odds) * math.sqrt(count))
+    names = found.names
+    shapes = sorted(names[f] for f in np.flatnonzero(total).tolist() if names[f].startswith("s "))
+    ranked = sorted((-v, names[f]) for f, v in value.items() if not names[f].startswith("s "))
+    return Vocabulary({f: i for i, f in enumerate([*shapes, *(f for _, f in ranked[:most])])})
 
 
 def fit_softmax(
     x: np.ndarray, y: np.ndarray, classes: int, weight: np.ndarray, ridge: float = 1e-3, steps: int = 150
 ) -> np.ndarray:
     """Weights (features + intercept, classes) by accelerated gradient descent on the weighted log loss."""
-    a = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float32)
+    a = np.ones((len(x), x.shape[1] + 1), np.float32)
+    a[:, :-1] = x
+    del x  # the caller's matrix may go
     target = np.eye(classes, dtype=np.float32)[y]
     share = (weight / weight.sum()).astype(np.float32)
     w = np.zeros((a.shape[1], classes), np.float32)

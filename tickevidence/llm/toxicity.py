@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickevidence.llm.common import labelled_sample, map_arrow, text_or_empty
-from tickevidence.llm.textmodel import Scorer, Vocabulary, choose_features, fit_softmax, softmax, text_features
+from tickevidence.llm.textmodel import Scorer, TextFeatures, Vocabulary, choose_features, fit_softmax, softmax
 
 #: Bounds of the fit: labelled texts per combination of categories, their length, and folds.
 TEXTS, MAX_CHARS, FOLDS = 1_200, 32_768, 3
@@ -42,7 +42,7 @@ def _probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return softmax(np.stack([np.zeros(len(x)), x @ w[:-1] + w[-1]], axis=1))[:, 1]
 
 
-def _out_of_fold(sets: list, codes: np.ndarray, weight: np.ndarray, fold: np.ndarray, categories: int) -> list[np.ndarray]:
+def _out_of_fold(found: TextFeatures, codes: np.ndarray, weight: np.ndarray, fold: np.ndarray, categories: int) -> list[np.ndarray]:
     """Each category's probabilities from models, vocabulary included, that have not seen the row."""
     out: list[np.ndarray] = [np.zeros(len(codes)) for _ in range(categories)]
     inputs = []
@@ -50,8 +50,7 @@ def _out_of_fold(sets: list, codes: np.ndarray, weight: np.ndarray, fold: np.nda
         train = fold != f
         if len(set(codes[train].tolist())) < 2:
             return out
-        vocabulary = choose_features([s for s, t in zip(sets, train, strict=True) if t], codes[train].tolist())
-        inputs.append(vocabulary.matrix(sets))
+        inputs.append(choose_features(found, codes, train).matrix(found))
     for k in range(categories):
         y = (codes >> k) & 1
         for f, x in enumerate(inputs):
@@ -92,9 +91,9 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str]) -> Chain
     targets = [(codes >> k) & 1 for k in range(len(names))]
     if not len(codes) or any(t.min() == t.max() for t in targets):
         return None
-    sets = [text_features(t) for t, _ in sample]
-    vocabulary = choose_features(sets, codes.tolist())
-    x = vocabulary.matrix(sets)
+    found = TextFeatures(t for t, _ in sample)
+    vocabulary = choose_features(found, codes)
+    x = vocabulary.matrix(found)
     got = {c: (codes == c).sum() for c in set(codes.tolist())}
     weight = np.array([counts[c] / got[c] for c in codes.tolist()])
     fold = np.arange(len(codes)) % FOLDS
@@ -107,7 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str]) -> Chain
                 train = fold != f
                 held[~train] = _probability(x[~train], _fit_one(x[train], y[train], weight[train]))
             x = np.hstack([x, _log_odds(held)[:, None]])
-    honest = _out_of_fold(sets, codes, weight, fold, len(names))
+    honest = _out_of_fold(found, codes, weight, fold, len(names))
     cuts = tuple(choose_cut(p, y, weight) for p, y in zip(honest, targets, strict=True))
     return Chain(tuple(names), vocabulary, tuple(weights), cuts)
 
