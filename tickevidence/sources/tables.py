@@ -10,8 +10,10 @@ import csv
 import hashlib
 import io
 import os
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,14 +104,129 @@ def read_day(spark: SparkSession, path: str, date_column: str, date: str) -> Dat
 # Verification -------------------------------------------------------------------
 
 
-def file_digests(spark: SparkSession, path: str, pattern: str = "*", recursive: bool = True) -> DataFrame:
+#: Files up to this size are hashed as one value, larger ones as a chain of pieces of at most so many bytes.
+WHOLE_BYTES, PIECE_BYTES = 32 << 20, 8 << 10
+#: Readers of lines unpack names that end so; their files are hashed as one value, whatever their size.
+PACKED = r"\.(deflate|gz|bz2|lz4|snappy|zst|zstd)$"
+BOM = b"\xef\xbb\xbf"
+_PIECES = "file string, size bigint, kind int, start bigint, place bigint, total bigint, data binary"
+
+
+def file_digests(
+    spark: SparkSession, path: str, pattern: str = "*", recursive: bool = True, whole_bytes: int = WHOLE_BYTES
+) -> DataFrame:
     """(path, sha256, size_bytes) of files, hashed in the tasks that read them.
 
-    A file is read whole by one task, so artifacts should stay under 2 GB each.
+    SHA-256 is one chain over a file's bytes, so one task hashes a file; beyond ``whole_bytes`` it sees
+    the file as a sorted stream of small pieces and never holds it.
+    """
+
+    def reader(kind: str) -> DataFrame:
+        found = spark.read.format(kind).option("pathGlobFilter", pattern)
+        return found.option("recursiveFileLookup", str(recursive).lower()).load(path)
+
+    files = reader("binaryFile")
+    packed = F.col("_metadata.file_name").rlike(PACKED)
+    large = F.col("length") > whole_bytes
+    whole = files.filter(~large).unionByName(files.filter(packed).filter(large))
+    whole = whole.select("path", F.sha2("content", 256).alias("sha256"), F.octet_length("content").cast("bigint").alias("size_bytes"))
+    # Without the content these are names and sizes only.
+    listed = files.filter(large & ~packed).select("path", F.col("_metadata.file_path").alias("file"), F.col("length").alias("size_bytes"))
+    lines = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower())
+    lines = lines.option("lineSep", "\n").text(path).filter((F.col("_metadata.file_size") > whole_bytes) & ~packed)
+    chains = chain_digests(
+        lines.select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_size").alias("size"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.col("value").cast("binary").alias("line"),
+        )
+    )
+    lost = F.raise_error(F.concat(F.lit("file was not read: "), "path"))
+    streamed = listed.join(chains, "file", "left").select("path", F.coalesce("sha256", lost).alias("sha256"), "size_bytes")
+    return whole.unionByName(streamed)
+
+
+def chain_digests(lines: DataFrame) -> DataFrame:
+    """(file, sha256) from the lines of files (file, size, start of the split, line), which a task has in their order.
+
+    Lines are put together to pieces where they are read; the pieces of a file meet in one task, sorted on disk.
+    """
+    pieces = lines.mapInArrow(_line_pieces, _PIECES)
+    ordered = pieces.repartition("file").sortWithinPartitions("file", "kind", "start", "place")
+    return ordered.mapInArrow(_hash_pieces, "file string, sha256 string")
+
+
+def _line_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces (kind 1) of every split, each line with its line feed, and one row (kind 0) with their total."""
+    schema = pa.schema(
+        [("file", pa.string()), ("size", pa.int64()), ("kind", pa.int32()), ("start", pa.int64()), ("place", pa.int64())]
+        + [("total", pa.int64()), ("data", pa.binary())]
+    )
+    split, place, total = None, 0, 0
+
+    def made(kind: int, places: list[int], data: list[bytes]) -> pa.RecordBatch:
+        file, size, start = split
+        rows = [[x] * len(data) for x in (file, size, kind, start)]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([*rows, places, [total] * len(data), data], schema, strict=True)], schema=schema)
+
+    for batch in batches:
+        files, sizes, starts, lines = batch.columns
+        # A task reads its splits one after the other, so equal ends mean one split.
+        at, end = 0, batch.num_rows
+        while at < end:
+            mine = (files[at].as_py(), sizes[at].as_py(), starts[at].as_py())
+            until = end
+            if (files[end - 1].as_py(), starts[end - 1].as_py()) != (mine[0], mine[2]):
+                until = next(i for i in range(at, end) if (files[i].as_py(), starts[i].as_py()) != (mine[0], mine[2]))
+            if mine != split:
+                if split is not None:
+                    yield made(0, [0], [b""])
+                split, place, total = mine, 0, 0
+            text = b"\n".join([*lines.slice(at, until - at).to_pylist(), b""])
+            total += len(text)
+            data = [text[i : i + PIECE_BYTES] for i in range(0, len(text), PIECE_BYTES)]
+            yield made(1, list(range(place, place + len(data))), data)
+            place += len(data)
+            at = until
+    if split is not None:
+        yield made(0, [0], [b""])
+
+
+def _hash_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The digest of each file; its totals come first and tell what the reader of lines left out.
+
+    That is a byte order mark in front; the line feed behind the last line is one too many unless the file has it.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-    files = files.option("recursiveFileLookup", str(recursive).lower()).load(path)
-    return files.select("path", F.sha2("content", 256).alias("sha256"), F.octet_length("content").cast("bigint").alias("size_bytes"))
+    file, chain, size, read, left = None, None, 0, 0, 0
+
+    def done() -> pa.RecordBatch:
+        if chain is None or left:
+            raise ValueError(f"file changed while it was read: {file}")
+        return pa.RecordBatch.from_pydict({"file": [file], "sha256": [chain.hexdigest()]})
+
+    for batch in batches:
+        names = batch.column("file")
+        other = names.to_pylist() if names[0].as_py() != file or names[-1].as_py() != file else None
+        kinds, totals, data = batch.column("kind").to_pylist(), batch.column("total").to_pylist(), batch.column("data")
+        for i in range(batch.num_rows):
+            if other is not None and other[i] != file:
+                if file is not None:
+                    yield done()
+                file, chain, size, read = other[i], None, batch.column("size")[i].as_py(), 0
+            if kinds[i] == 0:
+                read += totals[i]
+                continue
+            if chain is None:
+                front = BOM if size - read in (2, 3) else b""
+                if size - len(front) - read not in (-1, 0):
+                    raise ValueError(f"file changed while it was read: {file}")
+                chain, left = hashlib.sha256(front), size - len(front)
+            piece = data[i].as_py()[:left]
+            chain.update(piece)
+            left -= len(piece)
+    if file is not None:
+        yield done()
 
 
 def artifact_problems(registered: DataFrame, actual: DataFrame) -> DataFrame:
