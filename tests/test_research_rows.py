@@ -92,5 +92,15 @@ def test_runs_over_events_that_meet_at_one_time(spark, tmp_path):
     events = [(i, first + dt.timedelta(minutes=20 * i), "view", 100.0 + i % 40, '{"k": %d}' % (i % 19)) for i in range(288)]
     twin = (1000, *events[7][1:3], 55.0, events[7][4])
     _events(spark, tmp_path / "one", [*events, twin])
+    row = queries()["research_metrics"](spark, str(tmp_path / "one")).first()
+    assert row["source_rows"] == 2 * (288 - 1) and row["sample_count"] > 0
     checks = queries()["research_audit"](spark, str(tmp_path / "one"))
     assert checks.count() == 13 and checks.filter("not passed").isEmpty()
+
+
+def test_a_run_in_which_every_quote_is_ambiguous_says_so(spark, tmp_path):
+    first = dt.datetime(2024, 1, 1)
+    events = [(i, first + dt.timedelta(minutes=20 * (i // 2)), "view", 100.0, '{"k": 1}') for i in range(96)]
+    _events(spark, tmp_path, events)
+    row = queries()["research_metrics"](spark, str(tmp_path)).first()
+    assert (row["source_rows"], row["sample_count"], row["status"]) == (0, 0, "INSUFFICIENT_DATA")
